@@ -2,7 +2,8 @@
 
 Each operator reads only the raw columns it needs, types them in one projection,
 drops the rows that cannot be used, keeps one row per key and only then derives
-the remaining columns, so that nothing derivable is sorted or shuffled.
+the remaining columns, so that nothing derivable is sorted or shuffled. Missing
+keys are filtered on the raw columns, where the scan can skip them.
 """
 
 from collections.abc import Sequence
@@ -59,7 +60,8 @@ def clean_orders_basic(raw_orders: DataFrame) -> DataFrame:
 
 
 def _unique_orders(raw_orders: DataFrame) -> DataFrame:
-    typed = raw_orders.select(
+    keyed = raw_orders.filter(all_present("order_id", "customer_id"))
+    typed = keyed.select(
         text("order_id"),
         text("customer_id"),
         moment("order_purchase_timestamp").alias("order_purchase_ts"),
@@ -70,7 +72,7 @@ def _unique_orders(raw_orders: DataFrame) -> DataFrame:
             "order_status_normalized"
         ),
     )
-    usable = typed.filter(all_present("order_id", "customer_id", "order_purchase_ts"))
+    usable = typed.filter(all_present("order_purchase_ts"))
     return keep_one(usable, ["order_id"])
 
 
@@ -106,7 +108,8 @@ def stage_orders(raw_orders: DataFrame) -> DataFrame:
 def _unique_items(
     raw_items: DataFrame, item_key: str, required: Sequence[str]
 ) -> DataFrame:
-    typed = raw_items.select(
+    keyed = raw_items.filter(all_present("order_id", "product_id", *required))
+    typed = keyed.select(
         text("order_id"),
         text("product_id"),
         text("seller_id"),
@@ -117,7 +120,7 @@ def _unique_items(
     )
     # A comparison with NULL is not true, so these also drop missing amounts.
     usable = typed.filter(
-        all_present("order_id", item_key, "product_id", *required)
+        all_present(item_key)
         & (F.col("price_amount") >= 0)
         & (F.col("freight_value_amount") >= 0)
     )
@@ -155,7 +158,8 @@ def stage_order_items(raw_items: DataFrame) -> DataFrame:
 
 def stage_payments(raw_payments: DataFrame) -> DataFrame:
     """One row per order, sequence, type and value of a payment."""
-    typed = raw_payments.select(
+    keyed = raw_payments.filter(all_present("order_id"))
+    typed = keyed.select(
         text("order_id"),
         integer("payment_sequential").alias("payment_sequential_int"),
         integer("payment_installments").alias("payment_installments_int"),
@@ -164,11 +168,8 @@ def stage_payments(raw_payments: DataFrame) -> DataFrame:
             "payment_type_normalized"
         ),
     )
-    usable = typed.filter(
-        all_present("order_id") & (F.col("payment_value_amount") >= 0)
-    )
     unique = keep_one(
-        usable,
+        typed.filter(F.col("payment_value_amount") >= 0),
         [
             "order_id",
             "payment_sequential_int",
@@ -188,16 +189,16 @@ def stage_payments(raw_payments: DataFrame) -> DataFrame:
 
 def stage_customers(raw_customers: DataFrame) -> DataFrame:
     """One row per customer id, with flags for a usable city and state."""
-    typed = raw_customers.select(
+    keyed = raw_customers.filter(all_present("customer_id", "customer_unique_id"))
+    typed = keyed.select(
         text("customer_id"),
         text("customer_unique_id"),
         text("customer_zip_code_prefix"),
         lower_text("customer_city"),
         upper_text("customer_state"),
     )
-    usable = typed.filter(all_present("customer_id", "customer_unique_id"))
     # A comparison with NULL is not true: a missing value gets flag 0.
-    return keep_one(usable, ["customer_id"]).withColumns(
+    return keep_one(typed, ["customer_id"]).withColumns(
         {
             "is_customer_city_valid": flag(F.col("customer_city") != ""),
             "is_customer_state_valid": flag(F.col("customer_state") != ""),
