@@ -1,0 +1,354 @@
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators.mart import mart_daily_sales
+from millrace.plans.near_realtime import (
+    Folders,
+    Topics,
+    build_mart,
+    start_facts,
+    start_order_metrics,
+    start_raw_landing,
+)
+from millrace.streaming import facts
+from millrace.streaming.landing import raw_landing
+from millrace.streaming.queries import await_any, run_to_end, start_parquet_query
+from millrace.streaming.wire import parse_order_created, parse_payment_confirmed
+
+START = datetime(2026, 5, 14, 10)
+LATER = datetime(2026, 5, 14, 12)
+
+
+def created(order_id, when, customer="C1", **other):
+    return {
+        "order_id": order_id,
+        "customer_id": customer,
+        "event_type": "order_created",
+        "event_time": when if isinstance(when, str) else when.isoformat(),
+    } | other
+
+
+def confirmed(payment_id, when, value, **other):
+    return {
+        "order_id": "O",
+        "payment_id": payment_id,
+        "event_type": "payment_confirmed",
+        "event_time": when if isinstance(when, str) else when.isoformat(),
+        "payment_value": value,
+    } | other
+
+
+def golden_orders():
+    return [
+        created(f"O{i:04d}", START + timedelta(minutes=2 * i), f"C{i % 5 + 1:03d}")
+        for i in range(1, 16)
+    ]
+
+
+def golden_payments():
+    return [
+        confirmed(f"P{i:04d}", START + timedelta(minutes=2 * i + 1), 50.0 + 10 * i)
+        for i in range(1, 16)
+        if i % 3
+    ]
+
+
+def windows(table, *columns):
+    rows = table.orderBy("window_start").collect()
+    return {f"{r.window_start:%H:%M}": tuple(r[c] for c in columns) for r in rows}
+
+
+# Parsing
+
+
+def bad_orders():
+    return [
+        created("O1", "2026-05-14 10:00:00"),
+        created("O2", "2026-05-14T10:00:00"),
+        created(None, START),
+        created("O3", START, customer=None),
+        created("O4", START, event_type="order_paid"),
+        created("O5", START, event_type=None),
+        created("O6", "soon"),
+        created("O7", None or "2026-05-14T10:00:00", customer=["not", "text"]),
+        "not json",
+        '{"order_id": "O8", "customer_id": "C1", "event_ty',
+        created("O1", "2026-05-14T10:00:00"),  # copy of O1
+        created("O1", "2026-05-14T10:00:01"),  # another time, another event
+    ]
+
+
+def test_order_parsing_drops_what_cannot_be_used(topic, rows_of):
+    orders = topic()
+    orders.send(*bad_orders())
+    parsed = parse_order_created(orders.batch())
+    assert set(parsed.columns) == {
+        "message_key",
+        "kafka_ingest_ts",
+        "raw_json",
+        "topic",
+        "partition",
+        "offset",
+        "order_id",
+        "customer_id",
+        "event_type",
+        "event_time",
+        "event_ts",
+    }
+    kept = rows_of(parsed, "order_id", F.date_format("event_ts", "ss").alias("s"))
+    # A list where text is expected is kept by Spark as its JSON text.
+    assert [tuple(r.values()) for r in kept if r["order_id"] != "O7"] == [
+        ("O1", "00"),
+        ("O1", "01"),
+        ("O2", "00"),
+    ]
+    short = parse_order_created(orders.batch(), lineage=False)
+    assert set(parsed.columns) - set(short.columns) == {"raw_json", "topic", "partition", "offset"}
+    assert short.count() == parsed.count()
+
+
+def test_payment_parsing(topic, rows_of):
+    payments = topic()
+    payments.send(
+        confirmed("P1", START, 0.0),
+        confirmed("P2", START, -0.01),
+        confirmed("P3", START, None),
+        confirmed("P4", START, "ten"),
+        confirmed(None, START, 1.0),
+        confirmed("P5", START, 1.0, order_id=None),
+        confirmed("P6", START, 1.0, event_type="order_created"),
+        confirmed("P7", START, 7.0),
+        confirmed("P7", START, 8.0),
+    )
+    parsed = parse_payment_confirmed(payments.batch(), lineage=False)
+    assert [r["payment_id"] for r in rows_of(parsed, "payment_id")] == ["P1", "P7"]
+
+
+def test_one_malformed_event_does_not_stop_a_stream(topic, drained, rows_of):
+    orders = topic()
+    orders.send(*bad_orders())
+    table = drained(parse_order_created(orders.stream()))
+    kept = {r["order_id"] for r in rows_of(table, "order_id")}
+    assert {"O1", "O2"} <= kept <= {"O1", "O2", "O7"}
+
+
+# Golden windows
+
+
+def test_only_windows_behind_the_watermark_appear(topic, drained):
+    orders, payments = topic("orders"), topic("payments")
+    orders.send(*golden_orders())
+    payments.send(*golden_payments())
+    counted = drained(facts.order_count_10m(parse_order_created(orders.stream())), "o")
+    revenue = drained(facts.payment_revenue_5m(parse_payment_confirmed(payments.stream())), "p")
+    assert windows(counted, "order_created_count") == {"10:00": (4,)}
+    assert windows(revenue, "payment_confirmed_count", "payment_revenue") == {"10:00": (1, 60.0)}
+
+
+@pytest.fixture
+def closed_topics(topic):
+    """The golden events, and one later event per topic that closes their windows."""
+    orders, payments = topic("orders"), topic("payments")
+    orders.send(*golden_orders())
+    orders.send(created("last", LATER))
+    payments.send(*golden_payments())
+    payments.send(confirmed("last", LATER, 1.0))
+    return orders, payments
+
+
+@pytest.fixture
+def folders(tmp_path):
+    return Folders(str(tmp_path / "tables"), str(tmp_path / "checkpoints"))
+
+
+def test_order_metrics_of_both_topics(spark, closed_topics, folders):
+    orders, payments = closed_topics
+    topics = Topics(orders.stream(), payments.stream())
+    run_to_end(*start_order_metrics(topics, folders, orders_every=None, payments_every=None))
+    counted = spark.read.parquet(f"{folders.tables}/order_count_10m")
+    assert set(counted.columns) == {
+        "window_start",
+        "window_end",
+        "order_created_count",
+        "processed_at",
+    }
+    assert windows(counted, "order_created_count") == {
+        "10:00": (4,),
+        "10:10": (5,),
+        "10:20": (5,),
+        "10:30": (1,),
+    }
+    revenue = spark.read.parquet(f"{folders.tables}/payment_revenue_5m")
+    assert windows(revenue, "payment_confirmed_count", "payment_revenue") == {
+        "10:00": (1, 60.0),
+        "10:05": (2, 160.0),
+        "10:10": (1, 100.0),
+        "10:15": (2, 250.0),
+        "10:20": (2, 310.0),
+        "10:25": (2, 370.0),
+    }
+
+
+@pytest.mark.parametrize("sketched, customers", [(False, 15), (True, 5)])
+def test_facts_and_mart(spark, closed_topics, folders, tmp_path, sketched, customers):
+    orders, payments = closed_topics
+    topics = Topics(orders.stream(), payments.stream())
+    run_to_end(*start_facts(topics, folders, every=None, sketch=sketched))
+    created_5m = spark.read.parquet(f"{folders.tables}/fact_realtime_orders_5m")
+    assert windows(created_5m, "order_created_count", "unique_customer_count") == {
+        "10:00": (2, 2),
+        "10:05": (2, 2),
+        "10:10": (3, 3),
+        "10:15": (2, 2),
+        "10:20": (3, 3),
+        "10:25": (2, 2),
+        "10:30": (1, 1),
+    }
+    paid_5m = spark.read.parquet(f"{folders.tables}/fact_payment_status_5m")
+    averages = {k: v[0] for k, v in windows(paid_5m, "avg_payment_value").items()}
+    assert averages == {
+        "10:00": 60.0,
+        "10:05": 80.0,
+        "10:10": 100.0,
+        "10:15": 125.0,
+        "10:20": 155.0,
+        "10:25": 185.0,
+    }
+    path = str(tmp_path / "mart")
+    build_mart(spark, folders, path, sketched_customers=sketched)
+    row = spark.read.parquet(path).first()
+    assert str(row.sales_date) == "2026-05-14"
+    assert (row.order_count, row.unique_customer_count) == (15, customers)
+    assert (row.payment_confirmed_count, row.total_revenue, row.avg_order_value) == (
+        10,
+        1250.0,
+        83.33,
+    )
+
+
+def test_payments_that_all_have_one_time_close_no_window(spark, topic, drained):
+    payments = topic()
+    payments.send(*(confirmed(f"P{i}", "2018-01-01 00:00:00", 5.0) for i in range(5)))
+    paid = drained(facts.fact_payment_status_5m(parse_payment_confirmed(payments.stream())))
+    assert paid.count() == 0
+    orders = spark.createDataFrame(
+        [(datetime(2018, 1, 1), 3, 2)],
+        "window_start timestamp, order_created_count long, unique_customer_count long",
+    )
+    for exact in (False, True):
+        row = mart_daily_sales(orders, paid, exact_cents=exact).first()
+        assert (row.payment_confirmed_count, row.total_revenue, row.avg_order_value) == (0, 0, 0)
+
+
+def test_days_with_payments_only_are_not_in_the_mart(spark):
+    orders = spark.createDataFrame(
+        [(datetime(2018, 1, 1), 3, 2)],
+        "window_start timestamp, order_created_count long, unique_customer_count long",
+    )
+    paid = spark.createDataFrame(
+        [(datetime(2018, 1, 1, 1), 1, 10.0), (datetime(2018, 1, 2), 1, 10.0)],
+        "window_start timestamp, payment_confirmed_count long, payment_revenue double",
+    )
+    stamp = F.lit("2018-02-01").cast("timestamp")
+    rows = mart_daily_sales(orders, paid, refreshed_at=stamp).collect()
+    assert [(str(r.sales_date), r.total_revenue, r.avg_order_value) for r in rows] == [
+        ("2018-01-01", 10.0, 3.33)
+    ]
+    assert rows[0].source_refresh_ts == datetime(2018, 2, 1)
+
+
+# Late data, copies, restarts
+
+
+@pytest.mark.parametrize("settled, expected", [(True, {"09:50": (1,), "10:00": (2,)}),
+                                               (False, {"09:00": (1,), "09:50": (1,), "10:00": (1,)})])
+def test_late_rows_are_dropped_one_batch_after_the_watermark_moved(
+    topic, drained, settled, expected
+):
+    orders = topic()
+    orders.send(created("A", "2026-05-14T10:00:00"))
+    if settled:
+        orders.send(created("B", "2026-05-14T10:00:01"))
+    orders.send(created("C", "2026-05-14T09:00:00"), created("D", "2026-05-14T09:50:00"))
+    orders.send(created("E", LATER))
+    parsed = parse_order_created(orders.stream(), lineage=False)
+    table = drained(facts.fact_realtime_orders_5m(parsed))
+    assert windows(table, "order_created_count") == expected
+
+
+@pytest.mark.parametrize("lineage", [False, True])
+@pytest.mark.parametrize("copy_spread", [1, 3])
+def test_copies_are_dropped_within_and_across_batches(topic, drained, copy_spread, lineage):
+    orders = topic()
+    orders.send(*[created("A", "2026-05-14T10:00:00")] * 7)
+    orders.send(created("A", "2026-05-14T10:00:00"), created("A", "2026-05-14T10:01:00"))
+    orders.send(created("D", LATER))
+    parsed = parse_order_created(orders.stream(), lineage=lineage, copy_spread=copy_spread)
+    assert ("offset" in parsed.columns) == lineage
+    table = drained(facts.fact_realtime_orders_5m(parsed))
+    assert windows(table, "order_created_count") == {"10:00": (2,)}
+
+
+def test_a_restart_adds_nothing_and_new_events_continue(topic, drained):
+    orders = topic()
+    orders.send(*golden_orders())
+    orders.send(created("last", LATER))
+
+    def run():
+        return drained(facts.order_count_10m(parse_order_created(orders.stream())))
+
+    first = windows(run(), "order_created_count")
+    assert windows(run(), "order_created_count") == first
+    orders.send(created("O0001", START + timedelta(minutes=2)))  # a late copy
+    orders.send(created("much later", LATER + timedelta(hours=1)))
+    assert windows(run(), "order_created_count") == first | {"12:00": (1,)}
+
+
+# Landing
+
+
+def test_raw_landing_keeps_everything_by_hour(spark, topic, tmp_path):
+    orders, payments = topic("orders"), topic("payments")
+    orders.send("not json", created("A", START))
+    payments.send("{}", partition=3)
+    folders = Folders(str(tmp_path / "tables"), str(tmp_path / "checkpoints"))
+    topics = Topics(orders.stream(), payments.stream())
+    run_to_end(*start_raw_landing(topics, folders, every=None))
+    landed = spark.read.parquet(f"{folders.tables}/raw_order_created")
+    assert landed.columns[-2:] == ["ingest_date", "ingest_hour"]
+    assert sorted(r.raw_json for r in landed.collect())[0] == "not json"
+    other = spark.read.parquet(f"{folders.tables}/raw_payment_confirmed").first()
+    assert (other.topic, other.partition, other.message_key, other.raw_json) == (
+        "payments",
+        3,
+        "k",
+        "{}",
+    )
+    assert any((tmp_path / "tables" / "raw_order_created").glob("ingest_date=*/ingest_hour=*"))
+
+
+def test_a_given_processing_time_decides_the_folder(topic):
+    orders = topic()
+    orders.send("{}")
+    row = raw_landing(orders.batch(), F.lit("2018-03-04 05:06:07").cast("timestamp")).first()
+    assert (str(row.ingest_date), row.ingest_hour) == ("2018-03-04", 5)
+
+
+def test_timed_triggers_and_waiting_for_any_query(spark, topic, tmp_path):
+    orders = topic()
+    orders.send("{}")
+    query = start_parquet_query(
+        raw_landing(orders.stream()),
+        str(tmp_path / "t"),
+        str(tmp_path / "c"),
+        every="1 second",
+        name="landing",
+    )
+    query.processAllAvailable()
+    assert query.name == "landing" and query.isActive
+    query.stop()
+    await_any(spark)
+    spark.streams.resetTerminated()
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
