@@ -55,13 +55,17 @@ def start_order_metrics(
     folders: Folders,
     orders_every: str | None = "10 seconds",
     payments_every: str | None = "30 seconds",
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Order counts per ten minutes and payment revenue per five."""
     orders = facts.order_count_10m(parse_order_created(topics.orders))
     payments = facts.payment_revenue_5m(parse_payment_confirmed(topics.payments))
     return [
-        folders.start(orders, "order_count_10m", every=orders_every),
-        folders.start(payments, "payment_revenue_5m", every=payments_every),
+        folders.start(table, name, every=every, state_partitions=state_partitions)
+        for table, name, every in (
+            (orders, "order_count_10m", orders_every),
+            (payments, "payment_revenue_5m", payments_every),
+        )
     ]
 
 
@@ -70,6 +74,7 @@ def start_facts(
     folders: Folders,
     every: str | None = "10 seconds",
     sketch: bool = False,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """The five-minute facts that the mart is built from."""
     orders = facts.fact_realtime_orders_5m(
@@ -79,8 +84,11 @@ def start_facts(
         parse_payment_confirmed(topics.payments, lineage=False)
     )
     return [
-        folders.start(orders, "fact_realtime_orders_5m", every=every),
-        folders.start(payments, "fact_payment_status_5m", every=every),
+        folders.start(table, name, every=every, state_partitions=state_partitions)
+        for table, name in (
+            (orders, "fact_realtime_orders_5m"),
+            (payments, "fact_payment_status_5m"),
+        )
     ]
 
 

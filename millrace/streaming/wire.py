@@ -2,8 +2,9 @@
 
 A wire record has the columns of Spark's Kafka source: ``key`` and ``value`` in
 binary, ``topic``, ``partition``, ``offset`` and ``timestamp``. Every function
-here also runs on a batch DataFrame of that shape, where the watermark has no
-effect; this is how an archive is reprocessed.
+here also runs on a batch DataFrame of that shape, which is how an archive is
+reprocessed. No event is late then, and of several copies the one that the broker
+received first is kept, so that reprocessing gives the same result every time.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.functions.cleaning import all_present, moment
+from millrace.functions.dedup import keep_one
 from millrace.schemas import (
     EVENT_WATERMARK,
     ORDER_CREATED,
@@ -45,21 +47,23 @@ def _events(
     origin = ["message_key", "kafka_ingest_ts"]
     if lineage:
         origin += ["raw_json", "topic", "partition", "offset"]
+    share = F.pmod("offset", F.lit(copy_spread)).alias("_share")
     # Malformed JSON and a field of the wrong type parse to NULL and are filtered.
-    parsed = (
-        as_text(records)
-        .withColumn("payload", F.from_json("raw_json", payload))
-        .select(*origin, *(["offset"] if copy_spread > 1 and not lineage else []), "payload.*")
-    )
+    # As the output of a generator the fields are parsed once. Projected from a
+    # struct they would be parsed again in each filter that moves below it.
+    fields = F.inline_outer(F.array(F.from_json("raw_json", payload)))
+    parsed = as_text(records).select(*origin, share, fields)
     timed = parsed.withColumn("event_ts", moment("event_time"))
     wanted = (F.col("event_type") == event_type) & usable & all_present("event_ts")
-    events = timed.filter(wanted).withWatermark("event_ts", watermark)
+    events = timed.filter(wanted)
     key = [identity, "event_ts"]
+    if not events.isStreaming:
+        received = F.col("kafka_ingest_ts").asc_nulls_last()
+        return keep_one(events.drop("_share"), key, prefer=[received])
+    events = events.withWatermark("event_ts", watermark)
     if copy_spread > 1:
-        share = F.pmod("offset", F.lit(copy_spread))
-        events = events.withColumn("_share", share).dropDuplicates([*key, "_share"])
-        events = events.drop("_share", *([] if lineage else ["offset"]))
-    return events.dropDuplicates(key)
+        events = events.dropDuplicates([*key, "_share"])
+    return events.drop("_share").dropDuplicates(key)
 
 
 def parse_order_created(

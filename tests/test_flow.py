@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+import jobs
 from millrace.operators.quality import QualityError
 from millrace.plans import warehouse
 from millrace.plans.warehouse import Warehouse
@@ -110,3 +111,11 @@ def test_a_broken_gold_table_is_reported(house, spark):
     write_table(shorter, f"{house.gold}/hourly_order_summary", warehouse.SUMMARY_MONTH)
     with pytest.raises(QualityError, match="daily and hourly order counts differ: 1"):
         warehouse.validate(house)
+
+
+def test_jobs_run_one_step_each(house, spark, monkeypatch):
+    folders = ["--raw", house.raw, "--curated", house.curated, "--gold", house.gold]
+    for step in ("curated", "staged", "daily-orders-payments", "gold", "validate"):
+        monkeypatch.setattr("sys.argv", ["jobs.py", step, *folders])
+        jobs.main()
+    assert house.gold_table("daily_sales_summary").count() == 2

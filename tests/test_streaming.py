@@ -291,6 +291,42 @@ def test_copies_are_dropped_within_and_across_batches(topic, drained, copy_sprea
     assert windows(table, "order_created_count") == {"10:00": (2,)}
 
 
+def test_state_settings_belong_to_the_query_alone(spark, topic, tmp_path):
+    orders = topic()
+    orders.send(*golden_orders())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    query = start_parquet_query(
+        facts.order_count_10m(parse_order_created(orders.stream())),
+        str(tmp_path / "t"),
+        str(tmp_path / "c"),
+        every=None,
+        state_partitions=3,
+    )
+    run_to_end(query)
+    operators = query.recentProgress[0]["stateOperators"]
+    assert [op["numShufflePartitions"] for op in operators] == [3, 3]
+    assert any("rocksdb" in name for name in operators[0]["customMetrics"])
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_an_archive_keeps_the_copy_received_first(topic):
+    payments = topic()
+    payments.send(confirmed("P1", START, 7.0))
+    payments.send(confirmed("P1", START, 5.0))
+    times = ["2026-05-14 12:00:01", "2026-05-14 12:00:00"]
+    archive = payments.batch().withColumn(
+        "timestamp", F.element_at(F.array(*map(F.lit, times)), F.col("offset").cast("int") + 1).cast("timestamp")
+    )
+    assert [r.payment_value for r in parse_payment_confirmed(archive).collect()] == [5.0]
+
+
+def test_json_is_parsed_once(topic):
+    orders = topic()
+    orders.send(*golden_orders())
+    plan = parse_order_created(orders.batch())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
 def test_a_restart_adds_nothing_and_new_events_continue(topic, drained):
     orders = topic()
     orders.send(*golden_orders())
