@@ -299,7 +299,8 @@ def partition_layouts(spark, sf_dir):
         "by_year_month": ["summary_year", "summary_month"],
     }
     folder = new_folder(spark, "layouts")
-    return compare_layouts(_sales(spark, sf_dir), layouts, folder)
+    write_table(_sales(spark, sf_dir), f"{folder}/summary")
+    return compare_layouts(read_table(spark, f"{folder}/summary"), layouts, folder)
 
 
 # Files in between

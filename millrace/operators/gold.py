@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import money
-from millrace.functions.cleaning import calendar, flag
+from millrace.functions.cleaning import calendar
 from millrace.operators.payments import (
     payment_facts_by_order,
     sequenced_payments_by_order,
