@@ -20,6 +20,8 @@ LETTERS, DECAY = 3, 0.6
 LEAST = 0.5
 #: Landmark words; labelled documents to learn from, at most; sentences of one of them.
 LANDMARKS, MOST_LABELLED, MOST_SENTENCES = 24, 20_000, 64
+#: Letters of a landmark, at most. Its table of bounds has 2 to that power entries.
+LONGEST = 12
 #: Letters of a word that are compared at once; longer words are compared in windows.
 WIDE = 24
 #: Words that a worker keeps in mind; words compared together.
@@ -112,7 +114,7 @@ class Landmark(NamedTuple):
 
 @lru_cache
 def landmark(word: bytes) -> Landmark:
-    letters = bytes(sorted(set(word)))[:16]
+    letters = bytes(sorted(set(word)))[:LONGEST]
     weights: dict[tuple, float] = {}
     for places in combinations(range(len(word)), LETTERS):
         key = tuple(word[i] for i in places)
@@ -290,7 +292,7 @@ def _word_sets():
     @F.arrow_udf("array<binary>")
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            rows = [sorted({w for w in words_of(text) if LETTERS <= len(w) <= WIDE}) for text in batch.to_pylist()]
+            rows = [sorted({w for w in words_of(text) if LETTERS <= len(w) <= LONGEST}) for text in batch.to_pylist()]
             yield pa.array(rows, pa.list_(pa.binary()))
 
     return of.asNondeterministic()
