@@ -121,7 +121,8 @@ def pooled(text: str | None, vectors: np.ndarray) -> np.ndarray:
     own = buckets(text)
     if not len(own):
         return np.zeros(SIZE, np.float32)
-    return sum(vectors[own[i : i + 10_000]].sum(axis=0) for i in range(0, len(own), 10_000)) / np.float32(len(own))
+    sums = [vectors[own[i : i + 10_000]].sum(axis=0, dtype=np.float64) for i in range(0, len(own), 10_000)]
+    return (sum(sums) / len(own)).astype(np.float32)
 
 
 class Network(NamedTuple):

@@ -87,6 +87,7 @@ def own_kernel(words: list[bytes]) -> np.ndarray:
     by_length: dict[int, list[int]] = {}
     for i, word in enumerate(words):
         by_length.setdefault(len(word), []).append(i)
+    by_length.pop(0, None)
     for places in by_length.values():
         table = _table([words[i] for i in places])
         found[places] = _kernel(table, table)

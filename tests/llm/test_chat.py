@@ -1,0 +1,56 @@
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm.chat import perspectives
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def brute(rows, part_turns):
+    talks = {}
+    for conv, turn, role, text in rows:
+        talks.setdefault(conv, set()).add((turn is None, turn, role or "unknown", text or ""))
+    found = []
+    for conv, turns in talks.items():
+        ordered = sorted(turns, key=lambda t: (t[0], t[1] or 0, t[2], t[3]))
+        for who in sorted({t[2] for t in turns} - {"system"}):
+            for start in range(0, len(ordered), part_turns):
+                text, mask, some = "", [], ordered[start : start + part_turns]
+                for _, _, role, said in some:
+                    text += "<|system|>\n" if role == "system" else "<|assistant|>\n" if role == who else f"<|user|>{role}\n"
+                    if role == who:
+                        mask.append((len(text), len(text + said + "<|end|>")))
+                    text += said + "<|end|>\n"
+                found.append((conv, who, start // part_turns, len(some), text, tuple(mask)))
+    return sorted(found, key=str)
+
+
+ROWS = [
+    (1, 0, "system", "Be kind."), (1, 1, "ann", "Hello é 漢字"), (1, 2, "bob", "Hi\nthere"), (1, 3, "carl", ""), (1, 4, "ann", None), (1, 4, "bob", "tie"), (1, 4, "ann", "tie"),
+    (1, 4, "ann", "tie"), (2, 0, "system", "alone"), (3, None, "user", "no turn"), (3, 5000, None, "no role"), (3, 3, "", "blank role"), (3, -9000, "user", "first"),
+    (None, 1, "user", "no conversation"), (None, 2, "assistant", "x"), (4, 1, "user", "y" * 100_000), (5, 1, None, None),
+]
+
+
+@pytest.mark.parametrize("part_turns", [2, 64])
+def test_equals_brute_force(spark, part_turns):
+    rows = ROWS + [(6, t, "user" if t % 2 else "assistant", f"t{t}") for t in range(4090, 4240)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4).withColumn("place", F.lit("own")).withColumn("part", F.lit(3))
+    found = [(r.conv_id, r.perspective, r.part, r.n_turns, r.rendered, tuple((s.start, s.end) for s in r["mask"])) for r in perspectives(frame, part_turns).collect()]
+    assert sorted(found, key=str) == brute(rows, part_turns)
+
+
+def test_masks_cover_the_assistant_alone(spark):
+    for row in perspectives(spark.createDataFrame(ROWS, SCHEMA)).where("conv_id = 1").collect():
+        learnt = [row.rendered[s.start : s.end] for s in row["mask"]]
+        assert learnt == [part.split("\n", 1)[1] + "<|end|>" for part in row.rendered.split("<|end|>\n") if part.startswith("<|assistant|>")]
+
+
+def test_plan_has_no_python(spark, capsys):
+    perspectives(spark.createDataFrame(ROWS, SCHEMA)).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "== Physical Plan ==" in plan and not any(node in plan for node in ("EvalPython", "InArrow", "InPandas"))
+
+
+def test_empty_table(spark):
+    assert perspectives(spark.createDataFrame([], SCHEMA)).count() == 0

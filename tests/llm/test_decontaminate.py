@@ -1,0 +1,84 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import decontaminate
+from millrace.llm.decontaminate import contained_items, without_items
+
+WORDS = [f"w{i}" for i in range(40)]
+
+
+def _text(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+def _shingles(text, n):
+    words = decontaminate.WORD.findall((text or "").lower())
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+
+def brute(docs, items, per_mille=800, words=5):
+    found = []
+    for doc_id, text in docs:
+        for item_id, item in items:
+            count = len(decontaminate.WORD.findall((item or "").lower()))
+            own = _shingles(item, min(words, count)) if count else set()
+            shared = len(own & _shingles(text, min(words, count))) if own else 0
+            if own and shared * 1000 >= len(own) * per_mille:
+                found.append((doc_id, item_id, shared, len(own)))
+    return sorted(found, key=str)
+
+
+@pytest.fixture
+def items_of(spark):
+    return lambda rows: spark.createDataFrame(rows, "item_id long, text string")
+
+
+@pytest.fixture
+def case():
+    rng = random.Random(3)
+    items = [(i, _text(rng, n)) for i, n in enumerate([1, 2, 3, 4, 5, 6, 8, 9, 15, 16, 17, 31, 40, 64, 90])]
+    items += [(50, None), (51, ""), (52, "?!"), (8, _text(rng, 12)), (60, items[9][1])]
+    docs = []
+    for doc_id in range(60):
+        parts = [_text(rng, rng.randrange(30))]
+        for _, text in rng.sample(items[:15], 2):
+            words = text.split()
+            for _ in range(rng.randrange(3)):  # some are damaged, near the limit too
+                words[rng.randrange(len(words))] = "zz"
+            parts += [" ".join(words).upper().replace(" ", ", "), _text(rng, rng.randrange(60))]
+        docs.append((doc_id, " ".join(parts)))
+    docs += [(100, None), (101, ""), (None, items[12][1]), (5, docs[5][1]), (102, "one two"), (103, "x " * 20_000 + items[13][1])]
+    return docs, items
+
+
+def test_equals_brute_force(case, documents, items_of):
+    docs, items = case
+    frame = documents(*docs).withColumn("item_id", F.lit("own")).withColumn("found", F.lit(0))
+    found = sorted((tuple(row) for row in contained_items(frame, items_of(items)).collect()), key=str)
+    assert found == brute(docs, items)
+    assert len(found) > 60
+
+
+def test_blocks_of_items_give_the_same(case, documents, items_of, monkeypatch):
+    docs, items = case
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 400)
+    found = sorted((tuple(row) for row in contained_items(documents(*docs), items_of(items)).collect()), key=str)
+    assert found == brute(docs, items)
+
+
+def test_clean_documents_stay_with_all_columns(case, documents, items_of):
+    docs, items = case
+    dirty = {row[0] for row in brute(docs, items)}
+    frame = documents(*docs).withColumn("found", F.lit("own"))
+    kept = without_items(frame, items_of(items))
+    assert kept.columns == frame.columns
+    assert sorted(row.doc_id for row in kept.collect()) == sorted(i for i, _ in docs if i not in dirty and i is not None)
+    assert kept.where("found <> 'own'").count() == 0
+
+
+def test_empty_tables(documents, items_of):
+    assert contained_items(documents(), items_of([(1, "a b c d e")])).count() == 0
+    assert contained_items(documents((1, "a b c d e")), items_of([])).count() == 0
+    assert without_items(documents((1, "a"), (2, None)), items_of([])).count() == 2

@@ -1,0 +1,81 @@
+"""The stages against plain versions of their decisions, on small documents."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from millrace.llm.simhash import fingerprint
+
+from .test_decontaminate import brute as contained
+from .test_quality import _corpus as quality_corpus
+from .test_simhash import _components
+from .test_toxicity import _corpus as toxicity_corpus
+
+
+@pytest.fixture
+def folder(spark, tmp_path, labels, documents):
+    """Documents: good or junk, some with insults, copies and benchmark items."""
+    rng = random.Random(8)
+    good = quality_corpus(rng, 500)
+    insults = {i: toxic for i, _, toxic in toxicity_corpus(random.Random(9), 500)}
+    rows, known = [], []
+    item = " ".join(rng.choice(["pine", "rock", "salt", "tree", "wind", "lake"]) for _ in range(30))
+    for i, text, fine in good:
+        text += " idiot moron stupid" if insults[i] and fine and i % 3 else ""
+        rows.append((i, text + (f" {item} end" if i % 50 == 7 else "")))
+        known.append((i, fine, int("idiot" in text)))
+    rows += [(1000 + i, rows[i][1]) for i in range(40)] + [(2000, None), (2001, ""), (None, "ther um"), (5, rows[5][1])]
+    docs = documents(*rows).withColumn("score", F.lit("own")).withColumn("ids", F.lit(1))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels(*known).write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    return str(tmp_path), rows, item
+
+
+def test_stages_keep_what_they_should(spark, folder):
+    path, rows, item = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    columns = docs.columns
+    texts = dict(rows)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = [(row.doc_id, row.text) for row in docs.collect()]
+        out = f"{path}/out-{name}"
+        stage(spark, docs, path).write.parquet(out)
+        docs = spark.read.parquet(out)
+        kept = [(row.doc_id, row.text) for row in docs.collect()]
+        assert docs.columns == columns and kept and set(kept) <= set(before)
+        gone = [text or "" for _, text in set(before) - set(kept)]
+        if name == "quality":
+            junk = [text for text in gone if any(mark in text for mark in ("!!", "***", "%%%", "$$$", " |"))]
+            assert len(junk) >= 0.95 * sum(any(m in (t or "") for m in ("!!", "***", "%%%", "$$$", " |")) for _, t in before)
+            assert len(gone) - len(junk) <= 0.03 * len(before)
+        elif name == "toxicity":
+            assert not any("idiot" in (text or "") for _, text in kept)
+            assert sum("idiot" not in text for text in gone) <= 0.03 * len(before)
+        elif name == "near_duplicates":
+            groups = _components([(i, fingerprint(text)) for i, text in before])
+            assert sorted(i for i, _ in kept if i is not None) == sorted({g for g in groups if g is not None})
+        else:
+            dirty = {i for i, *_ in contained(before, [(1, item)])}
+            assert dirty and {i for i, _ in kept} == {i for i, _ in before} - dirty
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, path).collect()
+    assert sorted(str(row.doc_id) for row in last) == sorted(str(i) for i, _ in kept)
+    assert all(row.round_trip and len(row.ids) == row.n_ids for row in last)
+    assert texts
+
+
+def test_run_is_the_stages_in_turn(spark, folder):
+    path, _, _ = folder
+    found = corpus_pipeline.run(spark, path)
+    ids = [row.doc_id for row in found.collect()]
+    assert 0 < len(ids) == len(set(ids)) < 400
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "toxicity", "near_duplicates", "decontamination", "encoding"]
+
+
+def test_empty_documents(spark, folder, documents, tmp_path_factory):
+    path, _, _ = folder
+    docs = documents()
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, path).count() == 0

@@ -1,0 +1,52 @@
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from millrace.llm.shared import components, held_out, labelled_sample
+
+
+def _roots(links):
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        return x if parent[x] == x else root(parent[x])
+
+    for u, v in links:
+        a, b = root(u), root(v)
+        parent[max(a, b)] = min(a, b)
+    return {x: root(x) for x in list(parent)}
+
+
+def test_components_of_random_links(spark):
+    random = np.random.default_rng(1)
+    links = [tuple(map(int, pair)) for pair in random.integers(-50, 300, (220, 2))]
+    links += [(i, i + 1) for i in range(1000, 1040)] + [(2000, k) for k in range(2001, 2100)]
+    frame = spark.createDataFrame(links, "a long, b long").repartition(7)
+    found = {row.node: row.root for row in components(frame).collect()}
+    expected = {x: r for x, r in _roots(links).items() if any(x in e and e[0] != e[1] for e in links)}
+    assert {x: found.get(x, x) for x in expected} == expected
+    assert set(found) <= set(expected)
+
+
+def test_no_links(spark):
+    assert components(spark.createDataFrame([(3, 3)], "u long, v long")).count() == 0
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_held_out_is_the_crc32_of_the_id(spark):
+    rows = spark.range(50).withColumnRenamed("id", "doc_id").select("doc_id", held_out().alias("h")).collect()
+    assert all(row.h == (zlib.crc32(str(row.doc_id).encode()) % 5 == 0) for row in rows)
+
+
+def test_sample_is_bounded_and_skips_the_held_out_fold(documents, labels):
+    docs = documents(*((i, f"text {i}") for i in range(60)), (7, "another"), (None, "x"), (8, None))
+    known = labels(*((i, i % 2, 0) for i in range(60)), (3, 1, 1), (None, 1, 1), (9, 5, None))
+    rows = labelled_sample(docs, known, "quality", 20).collect()
+    assert len(rows) == 20 == len({row.doc_id for row in rows})
+    assert all(zlib.crc32(str(row.doc_id).encode()) % 5 for row in rows)
+    everything = labelled_sample(docs, known, "quality", 1000)
+    assert everything.where(F.col("doc_id").isNull()).count() == 0
+    assert everything.where("doc_id = 3").first().label == 1
+    assert labelled_sample(docs, known.limit(0), "quality", 10).count() == 0

@@ -1,0 +1,109 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm.queries import RULES
+from millrace.llm.urls import ORDER, SYMBOLS, fit, grams, host_and_path, judge_urls, smoothed
+
+
+def _parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = min((rest.index(c) for c in "/?#" if c in rest), default=len(rest))
+    end = min((rest.index(c) for c in "?#" if c in rest), default=len(rest))
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:host])
+    return lower, rest[host : max(host, end)]
+
+
+def _rule(host, path):
+    fits = [r for r in RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=lambda r: len(r.host + r.path), default=None)
+
+
+URLS = [
+    None, "", "no scheme", "http://", "https://EXAMPLE.com", "http://example.com/", "http://example.com/en/1", "http://www.example.com/en/1",
+    "http://www.example.com/EN/1", "http://a.www.example.com/en/x?y#z", "http://notexample.com/en/", "http://x.net/es/1", "x://y.net/fr/?q", "x://y.net?/fr/",
+    "a://b://c.com/", "http://com/x", "http://x.ÄB.com/é", "http://a.org/p#://b.net/es/", "http://x.com?y=http://z.net/fr/", "http://net/es/\nline", "http://h.net/de/1",
+]
+
+
+@pytest.fixture
+def pages(spark):
+    return lambda rows: spark.createDataFrame([(i, url, None) for i, url in rows], "page_id long, url string, html string")
+
+
+def test_hosts_paths_and_rules(pages):
+    rows = [*enumerate(URLS), (None, "http://x.com/"), (3, "http://x.com/")]
+    frame = pages(rows).withColumn("host", F.lit("own")).withColumn("score", F.lit(9))
+    found = judge_urls(frame, RULES).collect()
+    assert len(found) == len(rows)
+    by_id = {row.page_id: row for row in found if row.page_id is not None and row.page_id != 3}
+    for i, url in enumerate(URLS):
+        if i == 3:
+            continue
+        host, path = _parts(url)
+        rule = _rule(host, path)
+        assert (by_id[i].host, by_id[i].path) == (host, path), url
+        assert by_id[i].rule == (rule.host + rule.path if rule else None), url
+        assert by_id[i].verdict in ("allow", "block")
+        assert rule is None or by_id[i].verdict == rule.verdict
+
+
+def test_smoothing_gives_chances():
+    random = np.random.default_rng(0)
+    counts = np.zeros(SYMBOLS ** (ORDER + 1), np.int64)
+    for place in random.integers(0, len(counts), 300):
+        counts[place] += 5
+    chances = np.exp(smoothed(counts).astype(float)).reshape(-1, SYMBOLS)
+    assert np.allclose(chances.sum(axis=1), 1, atol=1e-4) and (chances > 0).all()
+
+
+def test_smoothing_by_hand():
+    """One url: the chance of its characters, from the recursion written out."""
+    counts = np.zeros(SYMBOLS ** (ORDER + 1), np.int64)
+    np.add.at(counts, grams("abab"), 1)
+    table = smoothed(counts).astype(float)
+    codes = [0, 0, 0, 4, 5, 4, 5, 1]
+    seen = [tuple(codes[i - ORDER : i + 1]) for i in range(ORDER, len(codes))]
+
+    def chance(context, symbol):
+        if context is None:
+            return 1 / SYMBOLS
+        follows = [g[ORDER] for g in seen if g[ORDER - len(context) : ORDER] == context]
+        shorter = chance(context[1:] if context else None, symbol)
+        kinds = len(set(follows))
+        return (follows.count(symbol) + kinds * shorter) / (len(follows) + kinds) if follows else shorter
+
+    for gram in seen:
+        place = sum(code * SYMBOLS ** (ORDER - k) for k, code in enumerate(gram))
+        assert np.isclose(np.exp(table[place]), chance(gram[:ORDER], gram[ORDER]), rtol=1e-4)
+
+
+def test_models_tell_kinds_apart(spark, pages):
+    random = np.random.default_rng(2)
+
+    def url(kind):
+        word = "".join(random.choice(list("aeimno" if kind else "kqxzwv"), 8))
+        return f"http://site.com/{word}" if kind else f"http://site.net/es/{word}"
+
+    learnt = [(i, url(i % 2)) for i in range(600)]
+    fresh = [(1000 + i, url(i % 2).replace("site.com", "x.org").replace("site.net/es", "x.org")) for i in range(100)]
+    found = {row.page_id: row for row in judge_urls(pages(learnt + fresh), RULES).collect()}
+    right = [found[i].verdict == ("allow" if i % 2 else "block") for i, _ in fresh]
+    assert all(found[i].rule is None for i, _ in fresh)
+    assert np.mean(right) > 0.9
+
+
+def test_one_kind_or_nothing(spark, pages):
+    assert judge_urls(pages([]), RULES).count() == 0
+    one = judge_urls(pages([(1, "http://x.com/"), (2, "http://x.org/")]), RULES).collect()
+    assert {row.page_id for row in one} == {1, 2}
+    assert fit(spark.createDataFrame([], "url string, accepted boolean")).threshold == 0.0
+
+
+def test_long_url(pages):
+    found = judge_urls(pages([(1, "http://x.org/" + "a" * 100_000), (2, "http://x.com/a"), (3, "http://x.net/es/a")]), RULES)
+    assert found.where("page_id = 1").first().verdict in ("allow", "block")
+    host, path = host_and_path(F.lit("http://x.org/" + "a" * 10))
+    assert found.select(path.alias("p")).first().p == "/" + "a" * 10
