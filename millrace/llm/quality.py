@@ -16,11 +16,13 @@ from millrace.llm.shared import labelled_sample, map_batches
 #: Words and runs of marks are tokens. Each falls into one of these buckets by a hash.
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 BUCKETS, SIZE, SPARSE, WINDOW = 16_384, 64, 2, 2
+#: Numbers that a document is pooled to.
+POOLED = 2 * SIZE + 1
 #: Labelled documents that the network may learn from, at most.
 MOST_LABELLED = 20_000
 #: Tokens that a worker keeps the buckets of.
 CACHED_TOKENS = 500_000
-HIDDEN, ROUNDS, STEP, DECAY, SHARE = 32, 40, 0.01, 1e-4, 0.85
+HIDDEN, ROUNDS, STEP, DECAY, SHARE = 32, 15, 0.01, 1e-3, 0.85
 #: Tasks that first add up the vectors of all others, for each bucket.
 SALTS = 16
 
@@ -117,12 +119,22 @@ def word_vectors(documents: DataFrame) -> np.ndarray:
 
 
 def pooled(text: str | None, vectors: np.ndarray) -> np.ndarray:
-    """The mean vector of a text's tokens; zero without tokens."""
+    """The vectors of a text's tokens as one: their mean, their spread in each
+    component, and how alike neighbours are. Zero without tokens."""
     own = buckets(text)
-    if not len(own):
-        return np.zeros(SIZE, np.float32)
-    sums = [vectors[own[i : i + 10_000]].sum(axis=0, dtype=np.float64) for i in range(0, len(own), 10_000)]
-    return (sum(sums) / len(own)).astype(np.float32)
+    n = len(own)
+    if not n:
+        return np.zeros(POOLED, np.float32)
+    total, squares, alike = np.zeros(SIZE), np.zeros(SIZE), 0.0
+    for start in range(0, n, 10_000):
+        part = vectors[own[start : start + 10_001]]  # one more, for the last neighbour
+        alike += float(np.einsum("ij,ij->", part[1:], part[:-1]))
+        part = part[:10_000]
+        total += part.sum(axis=0, dtype=np.float64)
+        squares += np.einsum("ij,ij->j", part, part)
+    mean = total / n
+    spread = np.sqrt(np.maximum(squares / n - mean**2, 0))
+    return np.concatenate([mean, spread, [alike / max(1, n - 1)]]).astype(np.float32)
 
 
 class Network(NamedTuple):
@@ -200,7 +212,7 @@ class Model(NamedTuple):
             vectors, network = shared.value
             for batch in texts:
                 rows = [pooled(text, vectors) for text in batch.to_pylist()]
-                yield pa.array(network.probabilities(np.array(rows).reshape(-1, SIZE).astype(float)))
+                yield pa.array(network.probabilities(np.array(rows).reshape(-1, POOLED).astype(float)))
 
         return score.asNondeterministic()(text)
 
@@ -221,7 +233,7 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> M
     vectors = word_vectors(documents)
     sample = labelled_sample(documents, labels, "quality", most)
     table = sample.select("label", _features(context.broadcast(vectors))("text").alias("x")).toArrow()
-    inputs = np.array(table["x"].to_pylist(), float).reshape(-1, SIZE)
+    inputs = np.array(table["x"].to_pylist(), float).reshape(-1, POOLED)
     order = np.lexsort(inputs.T)  # rows come in any order; learning doesn't depend on it
     network = train(inputs[order], np.asarray(table["label"])[order] if len(table) else np.zeros(0))
     return Model(vectors, network, context.broadcast((vectors, network)))
