@@ -19,7 +19,7 @@ LETTERS, DECAY = 3, 0.6
 #: Kernel values below this count as none.
 LEAST = 0.5
 #: Landmark words; labelled documents to learn from, at most; sentences of one of them.
-LANDMARKS, MOST_LABELLED, MOST_SENTENCES = 24, 20_000, 64
+LANDMARKS, MOST_LABELLED, MOST_SENTENCES = 64, 20_000, 64
 #: Letters of a landmark, at most. Its table of bounds has 2 to that power entries.
 LONGEST = 12
 #: Letters of a word that are compared at once; longer words are compared in windows.
