@@ -19,7 +19,7 @@ WORDS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 UNKNOWN_PENALTY = 10.0
 NOTHING: dict = {}
 #: Words that a worker keeps the ids of.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 200_000
 
 
 class Vocabulary:
@@ -153,17 +153,22 @@ def _parts(batch: pa.Array, rows: int = 256) -> Iterator[pa.Array]:
 
 
 def encoded(path: str):
-    """A column function: text to the list of its ids."""
+    """A column function: text to ``ids``, the list of its ids, and ``round_trip``, whether
+    they decode to the text. One pass does both, so the text goes to Python once."""
+    kinds = pa.struct([("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("struct<ids: array<int>, round_trip: boolean>")
     def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = vocabulary(path)
         for batch in texts:
-            done = [pa.array([], pa.list_(pa.int32()))]
+            done = [pa.array([], kinds)]
             for part in _parts(batch):
-                rows = vocabulary(path).encode(part.to_pylist())
-                offsets = np.append(0, np.cumsum([len(ids) // 4 for ids in rows])).astype(np.int32)
-                values = np.frombuffer(b"".join(rows), "<i4")
-                done.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
+                given = [text or "" for text in part.to_pylist()]
+                rows = [np.frombuffer(ids, "<i4") for ids in own.encode(given)]
+                offsets = np.append(0, np.cumsum([len(ids) for ids in rows])).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))
+                same = pa.array([own.decode(ids) == text for ids, text in zip(rows, given, strict=True)])
+                done.append(pa.StructArray.from_arrays([ids, same], fields=list(kinds)))
             yield pa.concat_arrays(done)
 
     return encode.asNondeterministic()
@@ -190,7 +195,6 @@ def encode_documents(documents: DataFrame, path: str) -> DataFrame:
     Repeated rows and null ids are kept; other columns are ignored; an empty table
     gives an empty result.
     """
-    rows = documents.select("doc_id", "text", encoded(path)("text").alias("ids"))
-    back = rows.withColumn("back", decoded(path)("ids"))
-    same = F.col("back") == F.coalesce("text", F.lit(""))
-    return back.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), same.alias("round_trip"))
+    rows = documents.select("doc_id", encoded(path)("text").alias("coded"))
+    ids = F.col("coded.ids")
+    return rows.select("doc_id", ids.alias("ids"), F.size(ids).cast("long").alias("n_ids"), "coded.round_trip")
