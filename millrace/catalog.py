@@ -2,8 +2,8 @@
 
 Each query takes the session and the folder of the tables. Raw tables go through
 the staging operators first, as they would in production, so the aggregates see
-the keys they rely on. Money is added in exact cents, which makes results equal
-on any engine and any partitioning. Columns that hold the time of the run are
+the keys they rely on. Money is added in exact cents, as the operators do by
+default, which makes results equal on any engine and any partitioning. Columns that hold the time of the run are
 dropped, and dates and timestamps are returned as timestamps without a zone,
 which is how the given tables hold them.
 """
@@ -79,6 +79,18 @@ def _raw_payments(spark, sf_dir):
     return standins.raw_payments(standins.table(spark, sf_dir, "lineitem"))
 
 
+def _odd_payments(spark, sf_dir):
+    """Payments as text; of every hundred parts a few have no usable price."""
+    part = F.col("l_partkey") % 100
+    lines = standins.table(spark, sf_dir, "lineitem")
+    value = F.col("payment_value").cast("string")
+    odd = F.when(part == 1, "NaN").when(part == 2, "Infinity").when(part == 3, "1e15")
+    odd = odd.when(part == 4, "a lot").when(part == 5, "-Infinity")
+    planted = lines.select(F.struct("*").alias("line"), odd.alias("odd"))
+    raw = standins.raw_payments(planted.select("line.*", "odd"), "odd")
+    return raw.withColumn("payment_value", F.coalesce("odd", value)).drop("odd")
+
+
 def _raw_customers(spark, sf_dir):
     names = ("customer", "nation", "region")
     return standins.raw_customers(*(standins.table(spark, sf_dir, n) for n in names))
@@ -106,7 +118,7 @@ def _event_payments(spark, sf_dir):
 
 def _sales(spark, sf_dir):
     return gold.daily_sales_summary(
-        _orders(spark, sf_dir), _payments(spark, sf_dir), exact_cents=True
+        _orders(spark, sf_dir), _payments(spark, sf_dir)
     )
 
 
@@ -170,30 +182,48 @@ def stage_order_events(spark, sf_dir):
     return staging.stage_order_events(standins.envelopes(_events(spark, sf_dir)))
 
 
+@query
+def stage_order_events_by_key(spark, sf_dir):
+    """The archive by message key and offset, as older archives have it."""
+    archive = standins.envelopes(_events(spark, sf_dir))
+    return staging.stage_order_events(archive, keys=staging.MESSAGE_KEY)
+
+
+@query
+def rejected_amounts(spark, sf_dir):
+    """What the payments lose to odd amounts, some of them planted."""
+    return quality.rejected_amounts(_odd_payments(spark, sf_dir), "payment_value")
+
+
+@query
+def stage_payments_odd_amounts(spark, sf_dir):
+    return staging.stage_payments(_odd_payments(spark, sf_dir))
+
+
 # Aggregates
 
 
 @query
 def payments_by_order(spark, sf_dir):
-    return payments.payments_by_order(_payments(spark, sf_dir), exact_cents=True)
+    return payments.payments_by_order(_payments(spark, sf_dir))
 
 
 @query
 def payment_facts_by_order(spark, sf_dir):
-    return payments.payment_facts_by_order(_payments(spark, sf_dir), exact_cents=True)
+    return payments.payment_facts_by_order(_payments(spark, sf_dir))
 
 
 @query
 def orders_with_payments(spark, sf_dir):
-    per_order = payments.payments_by_order(_payments(spark, sf_dir), exact_cents=True)
+    per_order = payments.payments_by_order(_payments(spark, sf_dir))
     return payments.orders_with_payments(_orders(spark, sf_dir), per_order)
 
 
 @query
 def daily_orders_payments_summary(spark, sf_dir):
-    per_order = payments.payments_by_order(_payments(spark, sf_dir), exact_cents=True)
+    per_order = payments.payments_by_order(_payments(spark, sf_dir))
     enriched = payments.orders_with_payments(_orders(spark, sf_dir), per_order)
-    return gold.daily_orders_payments_summary(enriched, exact_cents=True)
+    return gold.daily_orders_payments_summary(enriched)
 
 
 @query
@@ -215,14 +245,30 @@ def orders_by_city_day(spark, sf_dir):
 @query
 def payment_ratio_by_day(spark, sf_dir):
     return gold.payment_ratio_by_day(
-        _orders(spark, sf_dir), _payments(spark, sf_dir), exact_cents=True
+        _orders(spark, sf_dir), _payments(spark, sf_dir)
     )
 
 
 @query
 def top_products_by_day(spark, sf_dir):
     items = staging.stage_order_items(_raw_items(spark, sf_dir))
-    return gold.top_products_by_day(_orders(spark, sf_dir), items, exact_cents=True)
+    return gold.top_products_by_day(_orders(spark, sf_dir), items)
+
+
+@query
+def payment_ratio_by_day_of_copies(spark, sf_dir):
+    """The same from orders that come twice, counted as distinct ids."""
+    orders = _orders(spark, sf_dir)
+    return gold.payment_ratio_by_day(
+        orders.union(orders), _payments(spark, sf_dir), unique_orders=False
+    )
+
+
+@query
+def all_products_by_day(spark, sf_dir):
+    """More products per day than Spark limits by itself before the shuffle."""
+    items = staging.stage_order_items(_raw_items(spark, sf_dir))
+    return gold.top_products_by_day(_orders(spark, sf_dir), items, k=2000)
 
 
 # Checks and reports
@@ -232,7 +278,7 @@ def top_products_by_day(spark, sf_dir):
 def daily_vs_hourly(spark, sf_dir):
     orders = _event_orders(spark, sf_dir)
     daily = gold.daily_sales_summary(
-        orders, _event_payments(spark, sf_dir), exact_cents=True
+        orders, _event_payments(spark, sf_dir)
     )
     return quality.daily_vs_hourly(daily, gold.hourly_order_summary(orders))
 
@@ -241,11 +287,25 @@ def daily_vs_hourly(spark, sf_dir):
 def validate_gold(spark, sf_dir):
     orders = _event_orders(spark, sf_dir)
     daily = gold.daily_sales_summary(
-        orders, _event_payments(spark, sf_dir), exact_cents=True
+        orders, _event_payments(spark, sf_dir)
     )
     return quality.validate_gold(daily, gold.hourly_order_summary(orders))
 
 
+@query
+def validate_gold_missing_days(spark, sf_dir):
+    """Tables that each lack a day, and staged orders that come twice."""
+    orders = _event_orders(spark, sf_dir)
+    payments_of_none = _event_payments(spark, sf_dir).limit(0)
+    daily = gold.daily_sales_summary(orders, payments_of_none)
+    hourly = gold.hourly_order_summary(orders)
+    return quality.validate_gold(
+        daily.withColumn("delivered_order_count", F.lit(0)).where("day(event_date) <> 5"),
+        hourly.where("day(event_date) <> 7"),
+        staged_orders=orders.union(orders.where("order_id % 3 = 0")),
+    )
+
+
 @query
 def validate_unchecked_daily(spark, sf_dir):
     """The same rules over order rows that break some of them."""
@@ -292,6 +352,13 @@ def daily_sales_head(spark, sf_dir):
     return profile_table(summary, "event_date", rows=30).head
 
 
+@query
+def best_sales_days(spark, sf_dir):
+    """A head by descending revenue, equal revenues by date."""
+    order = (F.desc("total_revenue"), F.asc("event_date"))
+    return profile_table(_estimate_checked(_sales(spark, sf_dir)), *order, rows=30).head
+
+
 @query
 def partition_layouts(spark, sf_dir):
     layouts = {
@@ -342,6 +409,20 @@ def payment_confirmed_events(spark, sf_dir):
     return messages.payment_confirmed_events(_raw_payments(spark, sf_dir))
 
 
+@query
+def first_order_created_events(spark, sf_dir):
+    return messages.order_created_events(_raw_orders(spark, sf_dir), limit=100)
+
+
+@query
+def timed_payment_events(spark, sf_dir):
+    """Payments with the time at which their line was shipped; a tenth have none."""
+    shipped = F.when(F.col("l_partkey") % 10 != 0, F.col("l_shipdate"))
+    lines = standins.table(spark, sf_dir, "lineitem").withColumn("shipped", shipped)
+    raw = standins.raw_payments(lines, "shipped")
+    return messages.payment_confirmed_events(raw, event_time=F.col("shipped"))
+
+
 # Streams: run over everything there is, then read what they wrote
 
 
@@ -407,7 +488,17 @@ def stream_payment_revenue_5m(spark, sf_dir):
 def stream_fact_orders_5m(spark, sf_dir):
     orders = parse_order_created(_topics(spark, sf_dir).orders, lineage=False)
     windows = _streamed(spark, facts.fact_realtime_orders_5m(orders))
-    return windows.drop("unique_customer_count")
+    archive = parse_order_created(
+        standins.order_records(_events(spark, sf_dir)), lineage=False
+    )
+    exact = archive.groupBy(
+        F.window("event_ts", "5 minutes").getField("start").alias("window_start")
+    ).agg(F.count_distinct("customer_id").alias("_exact"))
+    estimate = F.col("unique_customer_count")
+    close = F.abs(estimate - F.col("_exact")) <= 0.15 * F.col("_exact") + 1
+    checked = windows.join(exact, on="window_start", how="left")
+    checked = checked.withColumn("estimate_is_close", close)
+    return checked.drop("unique_customer_count", "_exact")
 
 
 @query
@@ -489,7 +580,7 @@ def _batch_facts(spark, sf_dir, sketch=False) -> tuple[DataFrame, DataFrame]:
 
 
 def _batch_mart(spark, sf_dir):
-    return mart_daily_sales(*_batch_facts(spark, sf_dir), exact_cents=True)
+    return mart_daily_sales(*_batch_facts(spark, sf_dir))
 
 
 @query
@@ -501,7 +592,7 @@ def mart_daily_sales_from_archive(spark, sf_dir):
 def mart_daily_sales_from_streams(spark, sf_dir):
     folders = _stream_folders(spark)
     run_to_end(*start_facts(_topics(spark, sf_dir), folders, every=None))
-    mart = mart_from_facts(spark, folders, exact_cents=True)
+    mart = mart_from_facts(spark, folders)
     return mart.drop("unique_customer_count")
 
 

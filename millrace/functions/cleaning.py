@@ -37,8 +37,14 @@ def amount(name: str) -> Column:
 
 
 def moment(name: str) -> Column:
-    """Timestamp from text in the blank or the ISO ``T`` form, NULL when malformed."""
-    return F.col(name).try_cast("timestamp")
+    """Timestamp from text in the blank or the ISO ``T`` form, NULL when malformed.
+
+    The text must begin with a full date. A time alone would otherwise be a time of
+    the day on which the job runs, and a year alone its first day.
+    """
+    value = F.col(name)
+    dated = value.cast("string").rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}")
+    return F.when(dated, value.try_cast("timestamp"))
 
 
 def flag(condition: Column) -> Column:

@@ -2,9 +2,9 @@
 
 Floating-point sums depend on the order in which tasks deliver their rows, so a
 retry can change the last digit and, near a tie, the rounded result. With
-``exact=True`` amounts are added as whole cents and rounded half up on integers,
-and the result does not depend on the partitioning. It needs non-negative
-amounts of at most 2**53 cents each; infinity raises an error.
+``exact=True``, as the operators pass by default, amounts are added as whole cents and rounded half up on integers,
+and the result does not depend on the partitioning. It needs amounts that are
+``usable``; infinity raises an error.
 
 Aggregates over more than one level add up ``addend``s and turn the last sum
 back with ``from_addend``.
@@ -14,6 +14,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: A larger amount is not a price: 10**14 cents are exact in a double, and a sum of
+#: 90,000 of them still fits in a long.
+LARGEST_AMOUNT = 1e12
+
+
+def usable(value: Column) -> Column:
+    """Whether an amount can be added up: zero or more, finite, not absurdly large.
+
+    NaN is larger than any number to Spark, so the upper limit also rejects NaN and
+    infinity. NULL is neither usable nor not.
+    """
+    return (value >= 0) & (value <= LARGEST_AMOUNT)
+
+
 def _in_cents(value: Column) -> Column:
     return F.round(value * 100).cast("long")
 

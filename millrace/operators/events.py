@@ -45,12 +45,13 @@ def payment_confirmed_events(
     over the raw payments, to give them real times.
     """
     stamp = F.lit(REPLAY_EVENT_TIME) if event_time is None else event_time
+    # a payment without a time would be a message that no parser can use
     complete = raw_payments.select(
         F.col("order_id").cast("string"),
         integer("payment_sequential").alias("sequence"),
         amount("payment_value").alias("payment_value"),
         stamp.cast("string").alias("event_time"),
-    ).filter(all_present("order_id", "sequence", "payment_value"))
+    ).filter(all_present("order_id", "sequence", "payment_value", "event_time"))
     payload = _first(complete, limit, "order_id", "sequence", "payment_value").select(
         "order_id",
         F.concat_ws("_", "order_id", "sequence").alias("payment_id"),

@@ -27,6 +27,10 @@ from millrace.operators.payments import (
 )
 from millrace.schemas import UNKNOWN
 
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+#: Parts in which the products of a day are ranked first when many are wanted.
+PARTS_OF_DAY = 32
+
 
 def _with_summary_calendar(summary: DataFrame) -> DataFrame:
     return summary.withColumns(
@@ -70,7 +74,7 @@ def _count_orders_and_customers(
 
 
 def daily_orders_payments_summary(
-    enriched_orders: DataFrame, exact_cents=False, unique_orders=True
+    enriched_orders: DataFrame, exact_cents=True, unique_orders=True
 ) -> DataFrame:
     """Per day: orders, customers, payment coverage and totals, by date.
 
@@ -107,7 +111,7 @@ def daily_orders_payments_summary(
 def daily_sales_summary(
     staged_orders: DataFrame,
     staged_payments: DataFrame,
-    exact_cents=False,
+    exact_cents=True,
     unique_orders=True,
 ) -> DataFrame:
     """Per day: orders, customers (exact and estimated), revenue and ratios.
@@ -211,7 +215,7 @@ def orders_by_city_day(
 def payment_ratio_by_day(
     staged_orders: DataFrame,
     staged_payments: DataFrame,
-    exact_cents=False,
+    exact_cents=True,
     unique_orders=True,
 ) -> DataFrame:
     """Per day: orders, and those with a numbered payment."""
@@ -234,13 +238,16 @@ def top_products_by_day(
     staged_orders: DataFrame,
     staged_items: DataFrame,
     k: int = 10,
-    exact_cents=False,
+    exact_cents=True,
     unique_orders=True,
 ) -> DataFrame:
     """Per day: the ``k`` products with the highest revenue, freight excluded.
 
     Equal revenues rank by product id. The rank filter limits each day before
-    the shuffle, so a day with many products does not gather in one task.
+    the shuffle, so a day with many products does not gather in one task. Spark
+    does so up to ``spark.sql.optimizer.windowGroupLimitThreshold``; for a larger
+    ``k`` the products of a day are first ranked in parts, of which each keeps
+    ``k``, so that at most that many per part meet in one task.
     """
     price = F.col("price_amount")
     per_order = staged_items.groupBy("order_id", "product_id").agg(
@@ -259,5 +266,14 @@ def top_products_by_day(
     by_revenue = Window.partitionBy("event_date").orderBy(
         F.col("product_revenue").desc(), F.col("product_id").asc()
     )
+    limited = int(products.sparkSession.conf.get(GROUP_LIMIT))
+    if k > limited:
+        part = F.pmod(F.xxhash64("product_id"), F.lit(PARTS_OF_DAY)).alias("_part")
+        in_part = Window.partitionBy("event_date", "_part").orderBy(
+            F.col("product_revenue").desc(), F.col("product_id").asc()
+        )
+        parts = products.select("*", part)
+        parts = parts.withColumn("_rank", F.row_number().over(in_part))
+        products = parts.filter(F.col("_rank") <= k).drop("_part", "_rank")
     ranked = products.withColumn("rank_in_day", F.row_number().over(by_revenue))
     return _with_summary_calendar(ranked.filter(F.col("rank_in_day") <= k))

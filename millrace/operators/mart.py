@@ -10,12 +10,13 @@ def mart_daily_sales(
     order_facts: DataFrame,
     payment_facts: DataFrame,
     refreshed_at: Column | None = None,
-    exact_cents=False,
+    exact_cents=True,
     sketched_customers=False,
 ) -> DataFrame:
     """Per day with orders: counts, revenue and average order value.
 
-    Days that have payments only are left out. ``unique_customer_count`` adds up
+    Days that have payments only are left out. A window whose revenue is no usable
+    amount adds nothing; ``build_mart`` refuses such facts. ``unique_customer_count`` adds up
     the windows, so a customer counts once per window. When the order facts carry
     ``customer_sketch``, ``sketched_customers=True`` merges the sketches instead
     and estimates the day's distinct customers.
@@ -29,7 +30,8 @@ def mart_daily_sales(
         F.sum("order_created_count").alias("order_count"),
         customers.alias("unique_customer_count"),
     )
-    revenue = money.addend(F.col("payment_revenue"), exact_cents)
+    counted = F.when(money.usable(F.col("payment_revenue")), F.col("payment_revenue"))
+    revenue = money.addend(counted, exact_cents)
     payment_days = payment_facts.groupBy(day).agg(
         F.sum("payment_confirmed_count").alias("payment_confirmed_count"),
         F.sum(revenue).alias("_revenue"),

@@ -11,7 +11,7 @@ from millrace.functions import money
 from millrace.functions.cleaning import flag
 
 
-def payments_by_order(staged_payments: DataFrame, exact_cents=False) -> DataFrame:
+def payments_by_order(staged_payments: DataFrame, exact_cents=True) -> DataFrame:
     """Record count, total to 2 digits and high-value flag of each order."""
     value = F.col("payment_value_amount")
     return staged_payments.groupBy("order_id").agg(
@@ -21,7 +21,7 @@ def payments_by_order(staged_payments: DataFrame, exact_cents=False) -> DataFram
     )
 
 
-def payment_facts_by_order(staged_payments: DataFrame, exact_cents=False) -> DataFrame:
+def payment_facts_by_order(staged_payments: DataFrame, exact_cents=True) -> DataFrame:
     """Unrounded total, number of sequences and whether anything was paid.
 
     A consumer that does not read ``payment_count`` does not pay for its distinct

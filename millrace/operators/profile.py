@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,10 +19,13 @@ class TableProfile:
         self.head.show(truncate=False)
 
 
-def profile_table(table: DataFrame, *order_by: str, rows: int = 10) -> TableProfile:
+def profile_table(
+    table: DataFrame, *order_by: str | Column, rows: int = 10
+) -> TableProfile:
     """What an analyst looks at first. Nothing runs until a part is shown.
 
-    The head is a top-k by ``order_by``; without keys it is any ``rows`` rows.
+    The head is a top-k by ``order_by``, names or columns such as
+    ``F.desc("revenue")``; without keys it is any ``rows`` rows.
     """
     ordered = table.orderBy(*order_by) if order_by else table
     return TableProfile(

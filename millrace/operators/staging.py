@@ -24,6 +24,7 @@ from millrace.functions.cleaning import (
     upper_text,
 )
 from millrace.functions.dedup import keep_one
+from millrace.functions.money import usable
 from millrace.schemas import (
     DELIVERED,
     HIGH_VALUE_PAYMENT,
@@ -72,8 +73,8 @@ def _unique_orders(raw_orders: DataFrame) -> DataFrame:
             "order_status_normalized"
         ),
     )
-    usable = typed.filter(all_present("order_purchase_ts"))
-    return keep_one(usable, ["order_id"])
+    dated = typed.filter(all_present("order_purchase_ts"))
+    return keep_one(dated, ["order_id"])
 
 
 def _status_flags() -> dict[str, Column]:
@@ -119,12 +120,12 @@ def _unique_items(
         amount("freight_value").alias("freight_value_amount"),
     )
     # A comparison with NULL is not true, so these also drop missing amounts.
-    usable = typed.filter(
+    complete = typed.filter(
         all_present(item_key)
-        & (F.col("price_amount") >= 0)
-        & (F.col("freight_value_amount") >= 0)
+        & usable(F.col("price_amount"))
+        & usable(F.col("freight_value_amount"))
     )
-    return keep_one(usable, ["order_id", item_key])
+    return keep_one(complete, ["order_id", item_key])
 
 
 def _line_total() -> Column:
@@ -169,7 +170,7 @@ def stage_payments(raw_payments: DataFrame) -> DataFrame:
         ),
     )
     unique = keep_one(
-        typed.filter(F.col("payment_value_amount") >= 0),
+        typed.filter(usable(F.col("payment_value_amount"))),
         [
             "order_id",
             "payment_sequential_int",
@@ -209,6 +210,10 @@ def stage_customers(raw_customers: DataFrame) -> DataFrame:
 # Event archives
 
 
+#: Where a broker keeps a message: unique in the archive of any number of topics.
+MESSAGE_POSITION = ("topic", "partition", "offset")
+#: The key of older archives. Messages without a key that have the same offset in
+#: two partitions are one message by it.
 MESSAGE_KEY = ("message_key", "offset")
 
 
@@ -222,21 +227,16 @@ def _unique_events(envelopes: DataFrame, keys: Sequence[str]) -> DataFrame:
         "value.customer_id",
         "value.event_type",
         "value.event_time",
-        F.col("value.event_time").try_cast("timestamp").alias("event_ts"),
+        moment("value.event_time").alias("event_ts"),
     )
-    usable = flat.filter(all_present("order_id", "event_type", "event_ts"))
-    return keep_one(usable, keys)
+    complete = flat.filter(all_present("order_id", "event_type", "event_ts"))
+    return keep_one(complete, keys)
 
 
 def curate_order_events(
-    envelopes: DataFrame, keys: Sequence[str] = MESSAGE_KEY
+    envelopes: DataFrame, keys: Sequence[str] = MESSAGE_POSITION
 ) -> DataFrame:
-    """One row per archived message, ready for a layout by year and month.
-
-    The default key leaves out topic and partition: messages without a key that
-    have the same offset in two partitions count as copies. Pass
-    ``("topic", "partition", "offset")`` to keep them apart.
-    """
+    """One row per archived message, ready for a layout by year and month."""
     return _unique_events(envelopes, keys).withColumns(
         {
             "event_date": F.to_date("event_ts"),
@@ -246,7 +246,7 @@ def curate_order_events(
 
 
 def stage_order_events(
-    envelopes: DataFrame, keys: Sequence[str] = MESSAGE_KEY
+    envelopes: DataFrame, keys: Sequence[str] = MESSAGE_POSITION
 ) -> DataFrame:
     """One row per archived message, ready for a layout by ``event_date``."""
     unique = _unique_events(envelopes, keys).drop("event_time")

@@ -81,13 +81,12 @@ _PARTS = {
         SELECT event_id, ts, user_id, value,
                CASE event_type WHEN 'signup' THEN 'order_created'
                     WHEN 'purchase' THEN 'payment_confirmed'
-                    ELSE event_type END AS event_type,
-               CAST(json_extract(props, '$.k') AS BIGINT) AS k
+                    ELSE event_type END AS event_type
         FROM events""",
     "archived": """
         SELECT 'ecom.order_created.v1' AS topic,
-               CAST(0 AS BIGINT) AS "partition",
-               k AS "offset",
+               CAST(event_id % 4 AS BIGINT) AS "partition",
+               CAST(event_id // 4 AS BIGINT) AS "offset",
                CAST(user_id AS VARCHAR) AS message_key,
                CAST(event_id AS VARCHAR) AS order_id,
                CAST(user_id AS VARCHAR) AS customer_id,
@@ -96,10 +95,11 @@ _PARTS = {
                ts AS event_ts,
                CAST(ts AS DATE) AS event_date
         FROM typed_events
-        WHERE event_id IS NOT NULL AND event_type IS NOT NULL AND ts IS NOT NULL
+        WHERE event_id IS NOT NULL AND event_type IS NOT NULL AND ts IS NOT NULL""",
+    "archived_by_key": """
+        SELECT * FROM archived
         QUALIFY row_number() OVER (
-            PARTITION BY user_id, k
-            ORDER BY CAST(event_id AS VARCHAR), event_type, ts) = 1""",
+            PARTITION BY message_key, "offset" ORDER BY "partition") = 1""",
     "per_order": """
         SELECT order_id,
                count(*) AS payment_record_count,
@@ -143,6 +143,7 @@ _PARTS = {
 _NEEDS = {
     "stg_orders": ["raw_orders"],
     "archived": ["typed_events"],
+    "archived_by_key": ["archived"],
     "per_order": ["stg_payments"],
     "enriched": ["stg_orders", "per_order"],
     "order_events": ["typed_events"],
@@ -289,13 +290,19 @@ def _gold_report() -> str:
         f" FROM daily WHERE {bad}"
         for name, bad in _GOLD_RULES
     ]
+    rules.append(
+        "SELECT 'daily table is empty', CAST(count(*) = 0 AS BIGINT) FROM daily"
+    )
     rules.append(
         "SELECT 'daily and hourly order counts differ', count(*)"
-        " FROM compared WHERE order_count <> hourly_order_count"
+        " FROM compared WHERE coalesce(order_count, 0) <> coalesce(hourly_order_count, 0)"
     )
     return "\nUNION ALL\n".join(rules)
 
 
+_ODD_PAYMENTS = """SELECT *, l_extendedprice - 1000 AS v, l_partkey % 100 AS part
+FROM lineitem"""
+
 _STATEMENTS: dict[str, str] = {
     "preview_orders": """
 SELECT CAST(o_orderkey AS BIGINT) AS order_id, o_custkey AS customer_id,
@@ -345,6 +352,9 @@ FROM archived
     ),
     "stage_order_events": _with("archived", _STAGED_EVENTS),
     "jsonl_events_scan": _with("archived", _STAGED_EVENTS),
+    "stage_order_events_by_key": _with(
+        "archived_by_key", _STAGED_EVENTS.replace("archived", "archived_by_key")
+    ),
     "payments_by_order": _with(
         "per_order",
         f"""
@@ -390,6 +400,10 @@ GROUP BY event_date
     "daily_sales_head": _with(
         "enriched", f"{_DAILY_SALES.strip()} ORDER BY event_date LIMIT 30"
     ),
+    "best_sales_days": _with(
+        "enriched",
+        f"{_DAILY_SALES.strip()} ORDER BY total_revenue DESC, event_date LIMIT 30",
+    ),
     "hourly_order_summary": f"""
 WITH hours AS (
     SELECT date_trunc('hour', ts) AS order_hour_ts,
@@ -450,6 +464,8 @@ FROM (SELECT o.event_date, i.product_id,
 QUALIFY rank_in_day <= 10
 """,
     ),
+    "all_products_by_day": "",
+    "payment_ratio_by_day_of_copies": "",
     "daily_vs_hourly": """
 SELECT CAST(ts AS DATE) AS event_date,
        count(DISTINCT event_id) AS order_count,
@@ -474,7 +490,7 @@ hourly AS (
     FROM events WHERE ts IS NOT NULL GROUP BY 1),
 compared AS (
     SELECT order_count, hourly_order_count
-    FROM daily JOIN (SELECT CAST(h AS DATE) AS event_date, sum(n) AS hourly_order_count
+    FROM daily FULL JOIN (SELECT CAST(h AS DATE) AS event_date, sum(n) AS hourly_order_count
                      FROM hourly GROUP BY 1) USING (event_date))
 {_gold_report()}
 """,
@@ -488,9 +504,48 @@ WITH daily AS (
     FROM orders),
 compared AS (
     SELECT order_count, hourly_order_count
-    FROM daily JOIN (SELECT event_date, count(*) AS hourly_order_count
+    FROM daily FULL JOIN (SELECT event_date, count(*) AS hourly_order_count
                      FROM daily GROUP BY 1) USING (event_date))
 {_gold_report()}
+""",
+    "validate_gold_missing_days": f"""
+WITH daily AS (
+    SELECT CAST(ts AS DATE) AS event_date, count(DISTINCT event_id) AS order_count,
+           0 AS total_revenue, 0 AS orders_with_payment, 0 AS delivered_order_count
+    FROM events WHERE ts IS NOT NULL AND day(ts) <> 5 GROUP BY 1),
+compared AS (
+    SELECT order_count, hourly_order_count
+    FROM daily FULL JOIN (
+        SELECT CAST(ts AS DATE) AS event_date, count(DISTINCT event_id)
+                   AS hourly_order_count
+        FROM events WHERE ts IS NOT NULL AND day(ts) <> 7 GROUP BY 1)
+        USING (event_date))
+{_gold_report()}
+UNION ALL SELECT 'order_id is not unique', count(DISTINCT event_id) FROM events
+WHERE ts IS NOT NULL AND event_id % 3 = 0
+""",
+    "rejected_amounts": f"""
+WITH odd AS ({_ODD_PAYMENTS})
+SELECT 'payment_value is no number' AS check_name, count(*) AS failed_rows
+FROM odd WHERE part = 4
+UNION ALL SELECT 'payment_value is not finite or too large', count(*)
+FROM odd WHERE part IN (1, 2, 3, 5)
+UNION ALL SELECT 'payment_value is negative', count(*)
+FROM odd WHERE part NOT IN (1, 2, 3, 4, 5) AND v < 0
+""",
+    "stage_payments_odd_amounts": f"""
+WITH odd AS ({_ODD_PAYMENTS})
+SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
+       l_linenumber AS payment_sequential_int,
+       min(CAST(l_quantity AS INTEGER)) AS payment_installments_int,
+       v AS payment_value_amount,
+       CASE l_returnflag WHEN 'R' THEN 'credit_card' WHEN 'A' THEN 'boleto'
+            ELSE 'unknown' END AS payment_type_normalized,
+       CASE WHEN l_returnflag IN ('R', 'A') THEN 1 ELSE 0 END AS is_payment_type_valid,
+       CASE WHEN v >= 500 THEN 1 ELSE 0 END AS is_high_value_payment
+FROM odd
+WHERE l_orderkey IS NOT NULL AND v >= 0 AND part NOT IN (1, 2, 3, 4, 5)
+GROUP BY ALL
 """,
     "check_serving": _with(
         "order_events payment_events",
@@ -543,6 +598,27 @@ SELECT CAST(l_orderkey AS VARCHAR) AS "key",
 FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
   AND l_extendedprice IS NOT NULL
+""",
+    "first_order_created_events": """
+SELECT CAST(o_orderkey AS VARCHAR) AS "key",
+       '{"order_id":"' || o_orderkey || '","customer_id":"' || o_custkey
+       || '","event_type":"order_created","event_time":"'
+       || CAST(o_orderdate AS TIMESTAMP) || '"}' AS "value"
+FROM orders
+WHERE o_orderkey IS NOT NULL AND o_custkey IS NOT NULL AND o_orderdate IS NOT NULL
+ORDER BY CAST(o_orderkey AS VARCHAR), CAST(o_orderdate AS TIMESTAMP),
+         CAST(o_custkey AS VARCHAR)
+LIMIT 100
+""",
+    "timed_payment_events": """
+SELECT CAST(l_orderkey AS VARCHAR) AS "key",
+       '{"order_id":"' || l_orderkey || '","payment_id":"' || l_orderkey || '_'
+       || l_linenumber || '","event_type":"payment_confirmed",'
+       || '"event_time":"' || CAST(l_shipdate AS TIMESTAMP) || '","payment_value":'
+       || CAST(l_extendedprice - 1000 AS VARCHAR) || '}' AS "value"
+FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+  AND l_extendedprice IS NOT NULL AND l_partkey % 10 <> 0 AND l_shipdate IS NOT NULL
 """,
     "stream_parse_order_created": _with(
         "typed_events",
@@ -581,7 +657,7 @@ FROM closed_payments
         "closed_orders",
         """
 SELECT window_start, window_start + INTERVAL '5 minutes' AS window_end,
-       n AS order_created_count
+       n AS order_created_count, TRUE AS estimate_is_close
 FROM closed_orders
 """,
     ),
@@ -640,13 +716,20 @@ GROUP BY 1
     ),
 }
 
+_STATEMENTS["all_products_by_day"] = _STATEMENTS["top_products_by_day"].replace(
+    "rank_in_day <= 10", "rank_in_day <= 2000"
+)
+_STATEMENTS["payment_ratio_by_day_of_copies"] = _STATEMENTS["payment_ratio_by_day"]
+
 # The catalog returns dates as timestamps at midnight.
 _DATES = {
     "event_date": """
         curate_order_events stage_order_events jsonl_events_scan stage_orders
+        stage_order_events_by_key
         orders_with_payments daily_orders_payments_summary daily_sales_summary
         daily_sales_head hourly_order_summary orders_by_city_day
-        payment_ratio_by_day top_products_by_day daily_vs_hourly""",
+        payment_ratio_by_day top_products_by_day daily_vs_hourly
+        payment_ratio_by_day_of_copies all_products_by_day best_sales_days""",
     "order_date": """
         clean_orders_basic curate_orders csv_orders_scan partitioned_orders_scan""",
     "sales_date": """

@@ -3,11 +3,14 @@
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.functions import money
 from millrace.operators import quality
 from millrace.operators.mart import mart_daily_sales
-from millrace.sources.readers import read_table
+from millrace.schemas import ORDER_FACTS, PAYMENT_FACTS
+from millrace.sources.readers import read_table, read_table_or_empty
 from millrace.sources.sinks import write_table
 from millrace.streaming import facts
 from millrace.streaming.landing import raw_landing
@@ -56,10 +59,15 @@ def start_order_metrics(
     orders_every: str | None = "10 seconds",
     payments_every: str | None = "30 seconds",
     state_partitions: int | None = None,
+    copy_spread: int = 1,
 ) -> list[StreamingQuery]:
     """Order counts per ten minutes and payment revenue per five."""
-    orders = facts.order_count_10m(parse_order_created(topics.orders))
-    payments = facts.payment_revenue_5m(parse_payment_confirmed(topics.payments))
+    orders = facts.order_count_10m(
+        parse_order_created(topics.orders, copy_spread=copy_spread)
+    )
+    payments = facts.payment_revenue_5m(
+        parse_payment_confirmed(topics.payments, copy_spread=copy_spread)
+    )
     return [
         folders.start(table, name, every=every, state_partitions=state_partitions)
         for table, name, every in (
@@ -75,13 +83,15 @@ def start_facts(
     every: str | None = "10 seconds",
     sketch: bool = False,
     state_partitions: int | None = None,
+    copy_spread: int = 1,
 ) -> list[StreamingQuery]:
     """The five-minute facts that the mart is built from."""
+    parsing = {"lineage": False, "copy_spread": copy_spread}
     orders = facts.fact_realtime_orders_5m(
-        parse_order_created(topics.orders, lineage=False), sketch=sketch
+        parse_order_created(topics.orders, **parsing), sketch=sketch
     )
     payments = facts.fact_payment_status_5m(
-        parse_payment_confirmed(topics.payments, lineage=False)
+        parse_payment_confirmed(topics.payments, **parsing)
     )
     return [
         folders.start(table, name, every=every, state_partitions=state_partitions)
@@ -92,18 +102,38 @@ def start_facts(
     ]
 
 
+def _facts(spark: SparkSession, folders: Folders) -> tuple[DataFrame, DataFrame]:
+    """Both fact tables; one without a commit so far is empty."""
+    return (
+        read_table_or_empty(
+            spark, f"{folders.tables}/fact_realtime_orders_5m", ORDER_FACTS
+        ),
+        read_table_or_empty(
+            spark, f"{folders.tables}/fact_payment_status_5m", PAYMENT_FACTS
+        ),
+    )
+
+
 def mart_from_facts(
-    spark: SparkSession, folders: Folders, exact_cents=False, sketched_customers=False
+    spark: SparkSession, folders: Folders, exact_cents=True, sketched_customers=False
 ) -> DataFrame:
     return mart_daily_sales(
-        read_table(spark, f"{folders.tables}/fact_realtime_orders_5m"),
-        read_table(spark, f"{folders.tables}/fact_payment_status_5m"),
+        *_facts(spark, folders),
         exact_cents=exact_cents,
         sketched_customers=sketched_customers,
     )
 
 
 def build_mart(spark: SparkSession, folders: Folders, path: str, **options) -> None:
-    """Write the mart from the facts so far, then check what was written."""
-    write_table(mart_from_facts(spark, folders, **options), path)
-    quality.require_passed(quality.check_serving(read_table(spark, path)))
+    """Write the mart from the facts so far, check it, then replace the published one.
+
+    A mart that fails its checks stays in the folder ``<path>_next``, and the
+    published one stays as it was.
+    """
+    _, payments = _facts(spark, folders)
+    revenue = {"payment_revenue is not usable": ~money.usable(F.col("payment_revenue"))}
+    quality.require_passed(quality.count_failures(payments, revenue))
+    write_table(mart_from_facts(spark, folders, **options), f"{path}_next")
+    checked = read_table(spark, f"{path}_next")
+    quality.require_passed(quality.check_serving(checked))
+    write_table(checked, path)

@@ -4,6 +4,7 @@ Each step reads the tables before it from storage and writes one table, so steps
 can run as separate applications and a lost step is repeated on its own.
 """
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,21 +50,25 @@ class Warehouse:
         return read_table(self.spark, f"{self.gold}/{name}")
 
 
-def build_curated(house: Warehouse) -> None:
+def build_curated(
+    house: Warehouse, event_key: Sequence[str] = staging.MESSAGE_POSITION
+) -> None:
     """Orders, order items and order events of the curated layer."""
     month = ("order_year", "order_month")
     orders = staging.curate_orders(house.raw_orders())
     write_table(orders, f"{house.curated}/orders", month)
     items = staging.curate_order_items(house.raw_order_items())
     write_table(items, f"{house.curated}/order_items")
-    events = staging.curate_order_events(house.raw_order_events())
+    events = staging.curate_order_events(house.raw_order_events(), event_key)
     write_table(
         events, f"{house.curated}/order_created_events", ("event_year", "event_month")
     )
 
 
-def build_staged(house: Warehouse) -> None:
-    """The five staged tables."""
+def build_staged(
+    house: Warehouse, event_key: Sequence[str] = staging.MESSAGE_POSITION
+) -> None:
+    """The five staged tables. ``amount_report`` tells what bad amounts cost."""
     orders = staging.stage_orders(house.raw_orders())
     write_table(orders, f"{house.curated}/stg_orders", DAY)
     paid = staging.stage_payments(house.raw_payments())
@@ -72,11 +77,11 @@ def build_staged(house: Warehouse) -> None:
     write_table(items, f"{house.curated}/stg_order_items")
     customers = staging.stage_customers(house.raw_customers())
     write_table(customers, f"{house.curated}/stg_customers")
-    events = staging.stage_order_events(house.raw_order_events())
+    events = staging.stage_order_events(house.raw_order_events(), event_key)
     write_table(events, f"{house.curated}/stg_order_events", DAY)
 
 
-def build_daily_orders_payments(house: Warehouse, exact_cents=False) -> None:
+def build_daily_orders_payments(house: Warehouse, exact_cents=True) -> None:
     """The first daily summary, from orders joined with their payments."""
     per_order = payments.payments_by_order(house.table("stg_payments"), exact_cents)
     enriched = payments.orders_with_payments(house.table("stg_orders"), per_order)
@@ -86,7 +91,7 @@ def build_daily_orders_payments(house: Warehouse, exact_cents=False) -> None:
     )
 
 
-def build_gold(house: Warehouse, exact_cents=False) -> None:
+def build_gold(house: Warehouse, exact_cents=True) -> None:
     """The five gold tables, each laid out by year and month."""
     orders = house.table("stg_orders")
     paid = house.table("stg_payments")
@@ -105,11 +110,21 @@ def build_gold(house: Warehouse, exact_cents=False) -> None:
         write_table(table, f"{house.gold}/{name}", SUMMARY_MONTH)
 
 
-def validate(house: Warehouse) -> None:
+def amount_report(house: Warehouse) -> DataFrame:
+    """Raw amounts that staging rejects, by column and reason."""
+    items = quality.rejected_amounts(
+        house.raw_order_items(), "price", "freight_value"
+    )
+    return items.union(quality.rejected_amounts(house.raw_payments(), "payment_value"))
+
+
+def validate(house: Warehouse, include_unmatched=True) -> None:
     """Raise when a gold rule finds bad rows."""
     report = quality.validate_gold(
         house.gold_table("daily_sales_summary"),
         house.gold_table("hourly_order_summary"),
+        include_unmatched,
+        house.table("stg_orders"),
     )
     quality.require_passed(report)
 

@@ -82,6 +82,27 @@ def event_envelope(payment_value_type=DoubleType()) -> StructType:
     )
 
 
+def _facts(*measures: tuple[str, str]) -> StructType:
+    columns = [("window_start", "timestamp"), ("window_end", "timestamp"), *measures]
+    columns.append(("processed_at", "timestamp"))
+    schema = StructType()
+    for name, kind in columns:
+        schema.add(name, kind)
+    return schema
+
+
+#: The five-minute facts. Sketches of customers are part of the table only if asked for.
+ORDER_FACTS = _facts(
+    ("order_created_count", "long"),
+    ("unique_customer_count", "long"),
+    ("customer_sketch", "binary"),
+)
+PAYMENT_FACTS = _facts(
+    ("payment_confirmed_count", "long"),
+    ("payment_revenue", "double"),
+    ("avg_payment_value", "double"),
+)
+
 # Code lists, limits and event names of the data model.
 ORDER_STATUSES = (
     "created",

@@ -17,12 +17,14 @@ def state_settings(
 
     Both end up in the query's checkpoint and cannot change later. State lives in
     RocksDB, on local disk with a copy in the checkpoint, so that twenty minutes
-    of event ids need not fit in executor heap. One state partition per core of
-    the cluster unless told otherwise.
+    of event ids need not fit in executor heap. Without ``state_partitions`` the
+    session's number of shuffle partitions holds: cores are no measure, since a
+    cluster may give out its executors only after the query has started.
     """
-    partitions = state_partitions or spark.sparkContext.defaultParallelism
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
+    chosen = {}
+    if state_partitions:
+        chosen["spark.sql.shuffle.partitions"] = str(state_partitions)
+    return chosen | {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }

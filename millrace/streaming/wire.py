@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from millrace.functions.cleaning import all_present, moment
 from millrace.functions.dedup import keep_one
+from millrace.functions.money import usable
 from millrace.schemas import (
     EVENT_WATERMARK,
     ORDER_CREATED,
@@ -101,13 +102,13 @@ def parse_payment_confirmed(
     watermark: str = EVENT_WATERMARK,
     copy_spread: int = 1,
 ) -> DataFrame:
-    """payment_confirmed events with a non-negative value, once per payment id and
+    """payment_confirmed events with a usable value, once per payment id and
     event time. See ``parse_order_created`` for the parameters."""
     return _events(
         records,
         PAYMENT_CONFIRMED_PAYLOAD,
         PAYMENT_CONFIRMED,
-        usable=all_present("order_id", "payment_id") & (F.col("payment_value") >= 0),
+        usable=all_present("order_id", "payment_id") & usable(F.col("payment_value")),
         identity="payment_id",
         lineage=lineage,
         watermark=watermark,

@@ -119,3 +119,18 @@ def test_jobs_run_one_step_each(house, spark, monkeypatch):
         monkeypatch.setattr("sys.argv", ["jobs.py", step, *folders])
         jobs.main()
     assert house.gold_table("daily_sales_summary").count() == 2
+
+
+def test_stream_jobs_pass_every_option():
+    words = ["facts", "--servers", "broker:9092", "--state-partitions", "9", "--copy-spread", "3", "--every", "1 minute", "--sketch"]
+    words += ["--max-offsets-per-trigger", "500", "--fail-on-data-loss"]
+    options = jobs._arguments(words)
+    assert (options.max_offsets_per_trigger, options.fail_on_data_loss) == (500, True)
+    assert jobs.stream_options(options) == {
+        "state_partitions": 9,
+        "copy_spread": 3,
+        "every": "1 minute",
+        "sketch": True,
+    }
+    metrics = jobs.stream_options(jobs._arguments(["order-metrics", "--servers", "b:1", "--payments-every", "5 seconds"]))
+    assert metrics["payments_every"] == "5 seconds" and metrics["state_partitions"] is None

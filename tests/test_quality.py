@@ -25,10 +25,30 @@ def hourly(spark, *rows):
 def test_clean_gold_tables_pass(spark):
     daily = spark.createDataFrame([(DAY1, 3, 9.5, 2, 1)], DAILY)
     report = quality.validate_gold(daily, hourly(spark, (DAY1, 1), (DAY1, 2)))
-    assert len(failures(report)) == 6 and set(failures(report).values()) == {0}
+    assert len(failures(report)) == 7 and set(failures(report).values()) == {0}
     quality.require_passed(report)
 
 
+def test_an_empty_daily_table_and_repeated_orders_fail(spark):
+    daily = spark.createDataFrame([], DAILY)
+    orders = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), ("c",)], "order_id string")
+    found = failures(quality.validate_gold(daily, hourly(spark, (DAY1, 1)), staged_orders=orders))
+    assert found["daily table is empty"] == 1
+    assert found["daily and hourly order counts differ"] == 1
+    assert found["order_id is not unique"] == 2
+    assert sum(found.values()) == 4
+
+
+def test_rejected_amounts_are_counted_by_reason(spark):
+    values = ["1.5", "free", "NaN", "Infinity", "-Infinity", "1e15", "-2", None, "0"]
+    raw = spark.createDataFrame([(v,) for v in values], "price string")
+    assert failures(quality.rejected_amounts(raw, "price")) == {
+        "price is no number": 1,
+        "price is not finite or too large": 4,
+        "price is negative": 1,
+    }
+
+
 def test_every_gold_rule_counts_its_bad_rows(spark):
     daily = spark.createDataFrame(
         [
@@ -42,12 +62,13 @@ def test_every_gold_rule_counts_its_bad_rows(spark):
     )
     report = quality.validate_gold(daily, hourly(spark, (DAY2, 2)))
     assert failures(report) == {
+        "daily table is empty": 0,
         "daily event_date is null": 2,
         "daily order_count is not positive": 2,
         "daily total_revenue is negative": 1,
         "orders_with_payment exceeds order_count": 2,
         "delivered_order_count exceeds order_count": 2,
-        "daily and hourly order counts differ": 0,
+        "daily and hourly order counts differ": 2,  # one without a date, one below zero
     }
     with pytest.raises(quality.QualityError, match="daily event_date is null: 2"):
         quality.require_passed(report)
@@ -56,13 +77,13 @@ def test_every_gold_rule_counts_its_bad_rows(spark):
 def test_reconciliation_and_days_on_one_side_only(spark):
     daily = spark.createDataFrame([(DAY1, 3, 0.0, 0, 0), (DAY2, 5, 0.0, 0, 0)], DAILY)
     other = hourly(spark, (DAY1, 1), (DAY1, 1), (date(2018, 1, 3), 4))
-    compared = quality.daily_vs_hourly(daily, other).collect()
+    compared = quality.daily_vs_hourly(daily, other, include_unmatched=False).collect()
     assert [tuple(row) for row in compared] == [(DAY1, 3, 2, 1)]
-    everything = quality.daily_vs_hourly(daily, other, include_unmatched=True)
+    everything = quality.daily_vs_hourly(daily, other)
     assert sorted(row.order_count_diff for row in everything.collect()) == [-4, 1, 5]
     name = "daily and hourly order counts differ"
-    assert failures(quality.validate_gold(daily, other))[name] == 1
-    assert failures(quality.validate_gold(daily, other, include_unmatched=True))[name] == 3
+    assert failures(quality.validate_gold(daily, other, include_unmatched=False))[name] == 1
+    assert failures(quality.validate_gold(daily, other))[name] == 3
 
 
 def test_serving_checks(spark):
@@ -111,6 +132,6 @@ def test_gold_tables_of_any_staged_tables_pass(spark, order_rows, payment_rows):
         [(f"o{o}", s, v / 100) for o, s, v in payment_rows],
         "order_id string, payment_sequential_int int, payment_value_amount double",
     )
-    daily = gold.daily_sales_summary(orders, paid, exact_cents=True)
+    daily = gold.daily_sales_summary(orders, paid)
     report = quality.validate_gold(daily, gold.hourly_order_summary(orders), True)
     quality.require_passed(report)

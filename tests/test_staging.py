@@ -190,7 +190,10 @@ def test_staged_payments(text_table, rows_of):
         paid("c", payment_value="0", payment_type="cash"),
         paid("d", payment_value="-0.01"),
         paid("e", payment_value="free"),
-        paid("f", payment_value="NaN", payment_sequential="first"),
+        paid("f", payment_value="NaN"),
+        paid("h", payment_value="Infinity"),
+        paid("i", payment_value="1e13"),
+        paid("j", payment_sequential="first"),
         paid("g"),
         paid("g", payment_installments="1"),
         paid("g", payment_type="boleto"),
@@ -209,9 +212,9 @@ def test_staged_payments(text_table, rows_of):
         ("a", 1, 2, "voucher", 1, 0),
         ("b", 1, 2, "credit_card", 1, 1),
         ("c", 1, 2, "unknown", 0, 0),
-        ("f", None, 2, "voucher", 1, 1),
         ("g", 1, 1, "voucher", 1, 0),
         ("g", 1, 2, "boleto", 1, 0),
+        ("j", None, 2, "voucher", 1, 0),
     ]
 
 
@@ -271,12 +274,12 @@ def test_event_archives(spark, rows_of):
         (1, "o0", 1, day),
         (2, "o1", 0, day),
         (6, "o1", 1, day),
+        (6, "o9", 1, day),
     ]
     curated = staging.curate_order_events(envelopes)
     assert {"event_time", "event_year", "event_month"} <= set(curated.columns)
-    assert curated.count() == 3
-    position = ("topic", "partition", "offset")
-    assert staging.curate_order_events(envelopes, keys=position).count() == 4
+    assert curated.count() == 4
+    assert staging.curate_order_events(envelopes, keys=staging.MESSAGE_KEY).count() == 3
 
 
 def test_event_archive_with_text_values(spark):
