@@ -18,7 +18,7 @@ WORDS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 #: By how much an unknown character is worse than any piece.
 UNKNOWN_PENALTY = 10.0
 NOTHING: dict = {}
-#: Words that a worker keeps the ids of.
+#: Words that a task keeps the ids of.
 CACHED_WORDS = 200_000
 
 
@@ -160,16 +160,19 @@ def encoded(path: str):
     @F.arrow_udf("struct<ids: array<int>, round_trip: boolean>")
     def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = vocabulary(path)
-        for batch in texts:
-            done = [pa.array([], kinds)]
-            for part in _parts(batch):
-                given = [text or "" for text in part.to_pylist()]
-                rows = [np.frombuffer(ids, "<i4") for ids in own.encode(given)]
-                offsets = np.append(0, np.cumsum([len(ids) for ids in rows])).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))
-                same = pa.array([own.decode(ids) == text for ids, text in zip(rows, given, strict=True)])
-                done.append(pa.StructArray.from_arrays([ids, same], fields=list(kinds)))
-            yield pa.concat_arrays(done)
+        try:
+            for batch in texts:
+                done = [pa.array([], kinds)]
+                for part in _parts(batch):
+                    given = [text or "" for text in part.to_pylist()]
+                    rows = [np.frombuffer(ids, "<i4") for ids in own.encode(given)]
+                    offsets = np.append(0, np.cumsum([len(ids) for ids in rows])).astype(np.int32)
+                    ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))
+                    same = pa.array([own.decode(ids) == text for ids, text in zip(rows, given, strict=True)])
+                    done.append(pa.StructArray.from_arrays([ids, same], fields=list(kinds)))
+                yield pa.concat_arrays(done)
+        finally:
+            own.known.clear()  # a worker that goes on with other work needs its memory
 
     return encode.asNondeterministic()
 

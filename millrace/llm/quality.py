@@ -11,7 +11,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import labelled_sample, map_batches
+from millrace.llm.shared import ARROW_ROWS, TEXT_ROWS, labelled_sample, map_batches
+from millrace.sources.session import session_settings
 
 #: Words and runs of marks are tokens. Each falls into one of these buckets by a hash.
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -20,8 +21,8 @@ BUCKETS, SIZE, SPARSE, WINDOW = 16_384, 64, 2, 2
 POOLED = 2 * SIZE + 1
 #: Labelled documents that the network may learn from, at most.
 MOST_LABELLED = 20_000
-#: Tokens that a worker keeps the buckets of.
-CACHED_TOKENS = 500_000
+#: Tokens that a task keeps the buckets of.
+CACHED_TOKENS = 200_000
 HIDDEN, ROUNDS, STEP, DECAY, SHARE = 32, 15, 0.01, 1e-3, 0.85
 #: Tasks that first add up the vectors of all others, for each bucket.
 SALTS = 16
@@ -63,11 +64,21 @@ def add_contexts(sums: np.ndarray, texts: list[np.ndarray]) -> None:
                 sums += np.bincount(flat, SIGNS[other, k], sums.size).reshape(sums.shape)
 
 
+def _texts(batches: Iterator[pa.Array]) -> Iterator[list[str | None]]:
+    """The texts of each batch. When they end, a task forgets the buckets of tokens, so
+    that a worker that goes on with other work has the memory."""
+    try:
+        for batch in batches:
+            yield batch.to_pylist()
+    finally:
+        _BUCKET_OF.clear()
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums = np.zeros((BUCKETS + 1, SIZE))
     waiting, size = [], 0
-    for batch in batches:
-        for text in batch["text"].to_pylist():
+    for texts in _texts(batch["text"] for batch in batches):
+        for text in texts:
             waiting.append(buckets(text))
             size += len(waiting[-1])
             if size > 200_000:
@@ -110,7 +121,8 @@ def word_vectors(documents: DataFrame) -> np.ndarray:
     parts = map_batches(parts.repartition("salt", "bucket"), _summed, schema)
     parts = map_batches(parts.repartition("bucket"), _summed, schema)
     sums = np.zeros((BUCKETS, SIZE))
-    table = parts.select("bucket", "vector").toArrow()
+    with session_settings(documents.sparkSession, {ARROW_ROWS: str(TEXT_ROWS)}):
+        table = parts.select("bucket", "vector").toArrow()
     if len(table):
         rows = np.frombuffer(b"".join(table["vector"].to_pylist()), "<i8").reshape(-1, SIZE)
         sums[np.asarray(table["bucket"])] = rows
@@ -210,8 +222,8 @@ class Model(NamedTuple):
         @F.arrow_udf("double")
         def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             vectors, network = shared.value
-            for batch in texts:
-                rows = [pooled(text, vectors) for text in batch.to_pylist()]
+            for batch in _texts(texts):
+                rows = [pooled(text, vectors) for text in batch]
                 yield pa.array(network.probabilities(np.array(rows).reshape(-1, POOLED).astype(float)))
 
         return score.asNondeterministic()(text)
@@ -220,8 +232,8 @@ class Model(NamedTuple):
 def _features(shared):
     @F.arrow_udf("array<float>")
     def features(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in texts:
-            yield pa.array([pooled(text, shared.value) for text in batch.to_pylist()], pa.list_(pa.float32()))
+        for batch in _texts(texts):
+            yield pa.array([pooled(text, shared.value) for text in batch], pa.list_(pa.float32()))
 
     return features.asNondeterministic()
 

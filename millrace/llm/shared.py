@@ -11,6 +11,7 @@ from millrace.sources.workspace import new_folder
 
 #: Rows in one Arrow batch of texts. Texts may be long, so fewer than Spark's 10,000.
 TEXT_ROWS = 1000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def written(
@@ -24,8 +25,7 @@ def written(
     """
     spark = frame.sparkSession
     path = new_folder(spark, purpose)
-    rows = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch_rows)}
-    with session_settings(spark, rows):
+    with session_settings(spark, {ARROW_ROWS: str(batch_rows)}):
         frame.write.options(**options).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

@@ -24,8 +24,8 @@ LANDMARKS, MOST_LABELLED, MOST_SENTENCES = 64, 20_000, 64
 LONGEST = 12
 #: Letters of a word that are compared at once; longer words are compared in windows.
 WIDE = 24
-#: Words that a worker keeps in mind; words compared together.
-CACHED_WORDS, TOGETHER = 1_000_000, 20_000
+#: Words that a task keeps in mind; words compared together.
+CACHED_WORDS, TOGETHER = 200_000, 5_000
 #: Rows of one kernel table.
 ROWS = 4096
 COST, ROUNDS = 1.0, 2
@@ -167,7 +167,7 @@ def similarities(words: list[bytes], landmarks: list[bytes]) -> np.ndarray:
 
 
 class Matcher:
-    """The kernel rows of words that match a landmark, remembered by a worker."""
+    """The kernel rows of words that match a landmark, remembered by a task."""
 
     def __init__(self, landmarks: list[bytes]) -> None:
         self.landmarks, self.seen, self.rows = landmarks, set(), {}
@@ -206,17 +206,6 @@ class Matcher:
             self.rows, self.seen = {}, set()
 
 
-_MATCHERS: dict[tuple, Matcher] = {}
-
-
-def matcher(landmarks: list[bytes]) -> Matcher:
-    key = tuple(landmarks)
-    if key not in _MATCHERS:
-        _MATCHERS.clear()  # one model at a time
-        _MATCHERS[key] = Matcher(landmarks)
-    return _MATCHERS[key]
-
-
 class Machine(NamedTuple):
     """The SVM on Nyström features, and the slope and shift of its probabilities."""
 
@@ -323,7 +312,7 @@ def choose_landmarks(sample: DataFrame, count: int) -> list[bytes]:
 def _sentences(landmarks: list[bytes]):
     @F.arrow_udf("array<binary>")
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = matcher(landmarks)
+        known = Matcher(landmarks)
         for batch in texts:
             rows = []
             for sentences in known.each(batch.to_pylist()):
@@ -347,7 +336,7 @@ class Model(NamedTuple):
         @F.arrow_udf("double")
         def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             machine = shared.value
-            known = matcher(machine.landmarks)
+            known = Matcher(machine.landmarks)
             for batch in texts:
                 rows = known.each(batch.to_pylist())
                 yield pa.array([machine.probability(machine.margin(row)) for row in rows], pa.float64())
