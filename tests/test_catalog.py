@@ -5,6 +5,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, difference
+from millrace.catalog import QUERIES
+from millrace.oracle import ORACLES
 from tests.conftest import SMALL_TABLES
 
 
@@ -19,14 +21,16 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert ORACLES.items() <= entry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, duck, name):
-    result = entry.queries()[name](spark, SMALL_TABLES).toPandas()
+    result = QUERIES[name](spark, SMALL_TABLES).toPandas()
     assert len(result) > 0
-    assert difference(result, duck.execute(entry.oracle_sql()[name]).df()) == ""
+    assert difference(result, duck.execute(ORACLES[name]).df()) == ""
 
 
 def test_entry(spark):
