@@ -6,14 +6,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, pieces, quality, sharding, simhash, token_files, toxicity, urls, vectors
+from millrace.llm import alignment, chat, decontaminate, pieces, quality, sharding, simhash, token_files, toxicity, urls, vectors
 from millrace.llm.shared import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-WORD_TOKENIZER, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
+WORD_TOKENIZER, BYTE_TOKENIZER, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 END = 1
 #: From here on a text counts as toxic; as good.
 TOXIC_FROM, GOOD_FROM = 0.5, 0.3
@@ -110,6 +110,13 @@ def op10_pieces(spark, sf_dir):
     return rows.select("doc_id", "n_ids", F.crc32(joined.cast("binary")).alias("ids_crc32"), "round_trip")
 
 
+@query
+def op11_alignment(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    files = public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECES)
+    return alignment.align_corpus(documents, *files).documents
+
+
 ORACLES["op2_decontamination"] = r"""
 WITH words AS (
   SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents

@@ -5,6 +5,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.sources.session import session_settings
 from millrace.sources.workspace import new_folder
@@ -59,7 +60,7 @@ def labelled_sample(
 def map_batches(
     frame: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-    schema: str,
+    schema: str | StructType,
 ) -> DataFrame:
     return frame.mapInArrow(function, schema)
 
