@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import alignment, chat, decontaminate, pieces, quality, sharding, simhash, token_files, toxicity, urls, vectors
+from millrace.llm import alignment, chat, decontaminate, pieces, prefix_trie, quality, sharding, simhash, token_files, toxicity, urls, vectors
 from millrace.llm.shared import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +117,15 @@ def op11_alignment(spark, sf_dir):
     return alignment.align_corpus(documents, *files).documents
 
 
+@query
+def op12_prefix_trie(spark, sf_dir):
+    turns = prefix_trie.digested(table(spark, sf_dir, "conversations"))
+    trie = prefix_trie.prefix_trie(prefix_trie.with_shared_beginnings(turns, every=5, most=9))
+    nodes = trie.nodes.join(prefix_trie.end_digests(trie.ends), prefix_trie.KEY, "left")
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    return nodes.withColumn("ends_sha256", F.coalesce("ends_sha256", none)).drop(*prefix_trie.KEY)
+
+
 ORACLES["op2_decontamination"] = r"""
 WITH words AS (
   SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents
@@ -185,3 +194,42 @@ SELECT conv_id, perspective, part, count(*) AS n_turns,
   coalesce(string_agg(CASE WHEN learn THEN s || '-' || (s + length(body)) END, ',' ORDER BY place), '') AS mask
 FROM measured GROUP BY conv_id, perspective, part
 """
+
+ORACLES["op12_prefix_trie"] = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS own,
+    list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda c, z: xor(c >> 1, 3988292384::BIGINT * (c & 1)))
+    ) AS crc
+  FROM turns GROUP BY conv_id
+), hashed AS (SELECT *, xor(crc, 4294967295::BIGINT) % 9 AS h FROM convs),
+rebuilt AS (
+  SELECT c.conv_id, coalesce(l.own[1 : c.h], []) || c.own[c.h + 1 : ] AS path
+  FROM hashed c LEFT JOIN hashed l ON l.conv_id = c.conv_id - c.conv_id % 5
+), prefixes AS (
+  SELECT conv_id, path[1 : d] AS prefix, d AS depth, len(path) = d AS ends
+  FROM rebuilt, unnest(range(0, len(path) + 1)) AS t(d)
+), nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM prefixes GROUP BY prefix, depth
+), children AS (SELECT prefix[1 : depth - 1] AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+complete AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children,
+    CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * octet_length(encode(prefix[depth].text)) END AS saved
+  FROM nodes LEFT JOIN children USING (prefix)
+), sums AS (
+  SELECT prefix[1 : d] AS prefix, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS leaves, sum(saved) AS saved_sum
+  FROM complete, unnest(range(0, depth + 1)) AS t(d) GROUP BY ALL
+)
+SELECT c.conv_id, c.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+  leaves::BIGINT AS n_leaves, saved_sum::BIGINT AS saved_tokens, c.ends_sha256
+FROM complete c JOIN sums USING (prefix)
+LEFT JOIN complete p ON c.depth > 0 AND p.prefix = c.prefix[1 : c.depth - 1]
+"""
