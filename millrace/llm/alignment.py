@@ -1,9 +1,11 @@
 """Tokens of two tokenizers over the same text, matched by the bytes they cover."""
 
+import re
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from hashlib import sha256
-from itertools import accumulate
+from itertools import accumulate, chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -20,9 +22,15 @@ from millrace.llm.shared import map_batches, written
 
 #: Texts encoded together; letters of such texts, unless one text alone is longer.
 TOGETHER, LETTERS_TOGETHER = 64, 1 << 18
-#: A block of documents ends with the texts that reach so many distinct id pairs or
-#: links. Blocks are units of work; no count depends on them.
-BLOCK_PAIRS, BLOCK_LINKS = 400_000, 8_000_000
+#: A block of documents ends with the texts that reach so many distinct words or links.
+#: Blocks are units of work; no count depends on them.
+BLOCK_WORDS, BLOCK_LINKS = 400_000, 8_000_000
+#: Where both tokenizers begin a new token: at a single space between two characters
+#: that surely are no white space. What is on its left has no say in what follows.
+CUT = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
+CHAINED = re.compile(r"[\w!-~](?:.*[\w!-~])?", re.S)
+#: Letters of words that are put together and aligned as one text.
+CHAIN_LETTERS = 1 << 14
 #: Bits of an id pair that hold the second id.
 LOW_BITS = 32
 
@@ -117,12 +125,14 @@ def _tokenizers(a_path: str, b_path: str) -> tuple[ByteLevel, Pieces]:
 
 
 class Alignment(NamedTuple):
-    """One aligned text. ``pairs`` holds ``a id << 32 | b id`` for each link."""
+    """One aligned text. ``pairs`` holds ``a id << 32 | b id`` for each link, and
+    ``in_group`` the number of links in each group."""
 
     a: list[int]
     b: list[int]
     groups: list[Group]
     pairs: list[int]
+    in_group: list[int]
 
     def written(self) -> str:
         """The groups as ``a1,a2|b1;a3|b2,b3``."""
@@ -132,7 +142,7 @@ class Alignment(NamedTuple):
         )
 
 
-NOTHING = Alignment([], [], [], [])
+NOTHING = Alignment([], [], [], [], [])
 
 
 class Aligner:
@@ -169,13 +179,17 @@ class Aligner:
         a_ends, b_ends = list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts)))
         groups = align(a_ends, b_ends)
         pairs: list[int] = []
+        in_group: list[int] = []
         for group in groups:
             i, i_end, j, j_end = group
             if i_end - i == 1 == j_end - j:
                 pairs.append(a[i] << LOW_BITS | b[j])
+                in_group.append(1)
             else:
-                pairs += [a[i] << LOW_BITS | b[j] for i, j in links(group, a_ends, b_ends)]
-        return Alignment(a, b, groups, pairs)
+                found = [a[i] << LOW_BITS | b[j] for i, j in links(group, a_ends, b_ends)]
+                pairs += found
+                in_group.append(len(found))
+        return Alignment(a, b, groups, pairs, in_group)
 
 
 # Over a table
@@ -221,31 +235,99 @@ def align_documents(documents: DataFrame, a_path: str, b_path: str) -> DataFrame
 
 
 class _Block:
-    """The distinct id pairs of some documents, with how many of them hold each."""
-
-    def __init__(self):
-        self.places: dict[int, int] = {}
-        self.documents: list[int] = []
-        self.links = 0
-
-    def add(self, pairs: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """The places of a document's distinct pairs, and how often it holds them."""
-        distinct, times = np.unique(np.array(pairs, np.int64), return_counts=True)
-        places = np.empty(len(distinct), np.int32)
-        self.links += len(pairs)
-        for n, pair in enumerate(distinct.tolist()):
-            place = self.places.setdefault(pair, len(self.places))
-            if place == len(self.documents):
-                self.documents.append(0)
-            self.documents[place] += 1
-            places[n] = place
-        return places, times.astype(np.int32)
+    """Some documents, word by word: each different word is aligned once.
 
+    ``pairs`` are the distinct id pairs of all words, ``documents`` how many documents
+    hold each. Of the words it keeps the number of tokens and groups, the groups as
+    text, and the places of their pairs, one after another.
+    """
 
-def _int_lists(lists: list[np.ndarray]) -> pa.Array:
-    offsets = np.cumsum([0, *map(len, lists)])
-    values = np.concatenate(lists) if lists else np.empty(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+    def __init__(self, aligner: Aligner):
+        self.aligner = aligner
+        self.words: dict[str, int] = {}
+        self.pairs: dict[int, int] = {}
+        self.documents = np.zeros(0, np.int64)
+        self.links = 0
+        self.sizes = array("i")
+        self.texts: list[str] = []
+        self.places, self.ends = array("i"), array("q", [0])
+
+    @property
+    def full(self) -> bool:
+        return len(self.words) >= BLOCK_WORDS or self.links >= BLOCK_LINKS
+
+    def _learn(self, words: set[str]) -> None:
+        """Align words, many at a time as one text where they can stand beside others."""
+        chain, letters = [], 0
+        for word in words:
+            if CHAINED.fullmatch(word) is None:
+                self._keep([word])
+                continue
+            chain.append(word)
+            letters += len(word) + 1
+            if letters >= CHAIN_LETTERS:
+                self._keep(chain)
+                chain, letters = [], 0
+        if chain:
+            self._keep(chain)
+
+    def _keep(self, words: list[str]) -> None:
+        (one,) = self.aligner.align([" ".join(words)])
+        if not one.a:
+            if len(words) == 1:
+                self.words[words[0]] = -1
+            else:  # some word is not spelled out
+                half = len(words) // 2
+                self._keep(words[:half])
+                self._keep(words[half:])
+            return
+        a, b = list(map(str, one.a)), list(map(str, one.b))
+        a_ends = list(accumulate(len(self.aligner.a.bytes[i]) for i in one.a))
+        groups, counts, pairs = iter(one.groups), iter(one.in_group), iter(one.pairs)
+        place, end = self.pairs, 0
+        for word in words:
+            end += len(word.encode()) + 1
+            self.words[word] = len(self.texts)
+            texts, n_a, n_b, n_links, at = [], 0, 0, 0, -1
+            while at != end:
+                i, i_end, j, j_end = next(groups)
+                n_a, n_b, n_links = n_a + i_end - i, n_b + j_end - j, n_links + next(counts)
+                texts.append(f"{a[i]}|{b[j]}" if i_end - i == 1 == j_end - j else f"{','.join(a[i:i_end])}|{','.join(b[j:j_end])}")
+                at = a_ends[i_end - 1]
+            self.texts.append(";".join(texts))
+            self.sizes.extend((n_a, n_b, len(texts), n_links))
+            self.places.extend([place.setdefault(pair, len(place)) for pair in islice(pairs, n_links)])
+            self.ends.append(len(self.places))
+
+    def add(self, texts: list[str | None]) -> list[pa.Array]:
+        """For each text its digest, the places of its pairs and how often it holds each."""
+        split = [CUT.split(text) if text else [] for text in texts]
+        self._learn(set().union(*split) - self.words.keys())
+        of = self.words.__getitem__
+        rows = [list(map(of, words)) for words in split]
+        rows = [[] if -1 in words else words for words in rows]
+        strings = [";".join(map(self.texts.__getitem__, words)) for words in rows]
+        ids = np.fromiter(chain.from_iterable(rows), np.int64)
+        n_words = list(map(len, rows))
+        doc = np.repeat(np.arange(len(rows)), n_words)
+        table = np.frombuffer(self.sizes, np.int32).reshape(-1, 4) if self.sizes else np.zeros((0, 4), np.int32)
+        running = np.vstack([np.zeros(4, np.int64), np.cumsum(table[ids], axis=0, dtype=np.int64)])
+        bounds = np.cumsum([0, *n_words])
+        sums = running[bounds[1:]] - running[bounds[:-1]]
+        ends = np.frombuffer(self.ends, np.int64)
+        lengths = ends[ids + 1] - ends[ids]
+        at = np.repeat(ends[ids + 1] - np.cumsum(lengths), lengths) + np.arange(lengths.sum())
+        places = np.frombuffer(self.places, np.int32) if self.places else np.zeros(0, np.int32)
+        held, times = np.unique(np.repeat(doc, lengths) << LOW_BITS | places[at], return_counts=True)
+        place = (held & ((1 << LOW_BITS) - 1)).astype(np.int32)
+        grown = np.zeros(len(self.pairs), np.int64)
+        grown[: len(self.documents)] = self.documents
+        self.documents = grown + np.bincount(place, minlength=len(grown))
+        self.links += len(at)
+        cuts = pa.array(np.searchsorted(held >> LOW_BITS, np.arange(len(rows) + 1)), pa.int32())
+        hashes = [sha256(text.encode()).hexdigest() if text else "" for text in strings]
+        lists = (pa.ListArray.from_arrays(cuts, pa.array(values)) for values in (place, times.astype(np.int32)))
+        return [*(pa.array(column) for column in sums.T.copy()), pa.array(hashes, pa.string()), *lists]
 
 
 def _blocks(a_path: str, b_path: str, schema: StructType):
@@ -255,34 +337,25 @@ def _blocks(a_path: str, b_path: str, schema: StructType):
     longs = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, number, block = Aligner(a_path, b_path), 0, _Block()
+        aligner = Aligner(a_path, b_path)
+        number, block = 0, _Block(aligner)
         task = TaskContext.get().partitionId()
 
         def end() -> pa.RecordBatch:
-            row = {"block": f"{task}-{number}", "pairs": list(block.places), "documents": block.documents}
+            row = {"block": f"{task}-{number}", "pairs": list(block.pairs), "documents": block.documents.tolist()}
             return pa.RecordBatch.from_arrays([pa.array([row.get(f.name)], f.type) for f in arrow], names=names)
 
         for batch in batches:
             for start in range(0, len(batch), TOGETHER):
                 part = batch.slice(start, TOGETHER)
-                found = aligner.align(part["text"].to_pylist())
-                held = [block.add(one.pairs) for one in found]
                 n = len(part)
-                columns = [
-                    part["doc_id"],
-                    pa.array([f"{task}-{number}"] * n),
-                    *(pa.array([len(one[i]) for one in found], pa.int64()) for i in range(4)),
-                    pa.array([sha256(one.written().encode()).hexdigest() if one.a else "" for one in found]),
-                    _int_lists([places for places, _ in held]),
-                    _int_lists([times for _, times in held]),
-                    pa.nulls(n, longs),
-                    pa.nulls(n, longs),
-                ]
+                columns = block.add(part["text"].to_pylist())
+                columns = [part["doc_id"], pa.array([f"{task}-{number}"] * n), *columns, pa.nulls(n, longs), pa.nulls(n, longs)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-                if len(block.places) >= BLOCK_PAIRS or block.links >= BLOCK_LINKS:
+                if block.full:
                     yield end()
-                    number, block = number + 1, _Block()
-        if block.places:
+                    number, block = number + 1, _Block(aligner)
+        if block.pairs:
             yield end()
 
     return run
@@ -322,9 +395,10 @@ def align_corpus(documents: DataFrame, a_path: str, b_path: str) -> CorpusAlignm
     pair has the highest count of its A id, ties included) and count_sum (counts
     added over links). A pair counts once in a document.
 
-    Texts are encoded once. A task writes documents with their pairs as places in a
-    list of distinct pairs, a few hundred thousand at a time, and that list with its
-    counts: only lists are shuffled to add up counts, and the counts return to the
+    A text is cut at single spaces, where both sides begin a new token whatever is on
+    the left, and each different word of a block is encoded and aligned once. A task
+    writes documents with their pairs as places in a list of the block's distinct
+    pairs, and that list with its counts: only lists are shuffled to add up counts, and the counts return to the
     block that asked for them, so no table of all pairs is held or broadcast.
 
     A null or empty text, or one that the tokens do not spell out, has zeros and the

@@ -91,7 +91,7 @@ def test_equals_brute_force(spark, documents, brute):
 
 def test_blocks_change_nothing(spark, documents, brute, monkeypatch):
     monkeypatch.setattr(alignment, "TOGETHER", 2)
-    monkeypatch.setattr(alignment, "BLOCK_PAIRS", 5)
+    monkeypatch.setattr(alignment, "BLOCK_WORDS", 5)
     assert rows_of(alignment.align_corpus(documents(*TEXTS).coalesce(1), A, B).documents) == brute(TEXTS)
 
 
@@ -104,6 +104,21 @@ def test_query_equals_brute_force(spark, brute):
     assert {row.doc_id for row in found.collect()} == {i for i, _ in texts}
 
 
+def test_words_equal_whole_texts(spark):
+    """Cut at single spaces, texts have the tokens that they have as a whole."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(400).select("text").collect()
+    odd = ["a b\u00a0 c", "x  y z", "it 's 'll", "1 2 ,3", "e\u0301 a", "\u2003 a b", "q\n r s\t t", "🙂 a 🙂", "\u200b a b", "ﬁ a ½ b"]
+    texts = [row.text for row in rows] + odd
+    aligner = alignment.Aligner(A, B)
+    block = alignment._Block(aligner)
+    n_a, n_b, n_groups, n_links, hashes, places, times = (column.to_pylist() for column in block.add(texts))
+    pairs = list(block.pairs)
+    for i, one in enumerate(aligner.align(texts)):
+        digest = sha256(one.written().encode()).hexdigest() if one.a else ""
+        assert (n_a[i], n_b[i], n_groups[i], n_links[i], hashes[i]) == (len(one.a), len(one.b), len(one.groups), len(one.pairs), digest)
+        assert Counter(one.pairs) == {pairs[p]: n for p, n in zip(places[i], times[i])}
+
+
 def test_pairs_are_those_of_the_corpus(spark, documents):
     pairs = alignment.align_corpus(documents((1, "the cat"), (2, "the the dog")), A, B).pairs.collect()
     assert Counter(row["count"] for row in pairs) == {2: 1, 1: 2} and all(row.best for row in pairs)
