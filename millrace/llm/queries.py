@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import alignment, chat, decontaminate, pieces, prefix_trie, quality, sharding, simhash, token_files, toxicity, urls, vectors
+from millrace.llm import alignment, chat, decontaminate, pieces, prefix_trie, quality, sharding, simhash, token_files, toxicity, urls, vectors, wrappers
 from millrace.llm.shared import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,11 @@ def op12_prefix_trie(spark, sf_dir):
     return nodes.withColumn("ends_sha256", F.coalesce("ends_sha256", none)).drop(*prefix_trie.KEY)
 
 
+@query
+def op13_main_text(spark, sf_dir):
+    return wrappers.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 ORACLES["op2_decontamination"] = r"""
 WITH words AS (
   SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents
