@@ -506,7 +506,8 @@ def induce(pages: DataFrame, least_pages: int = LEAST_PAGES) -> Extraction:
 
     Pages are parsed once and written with their blocks; counts go by host and slot
     with equal pages counted once, so a host with a third of all pages is no hot
-    group: only its different trees meet, in groups of a bounded number.
+    group: only its different trees meet, in groups of a bounded number. The texts move
+    once more only where the decisions on all trees are too many to broadcast.
     """
     host = host_and_path(F.col("url"))[0].alias("host")
     rows = pages.select("page_id", "url", host, "html")
@@ -547,6 +548,7 @@ def induce(pages: DataFrame, least_pages: int = LEAST_PAGES) -> Extraction:
         "template",
         F.transform("places", lambda place: F.array_contains("main", place)).alias("holds"),
     )
+    by_tree = written(by_tree, "decisions")  # its size is known then, and Spark broadcasts it if small
 
     def main(block):
         key = F.concat_ws(":", F.get("places", block["slot"]), block["hash"])
