@@ -8,6 +8,7 @@ Session settings (master, memory, partitions) come from spark-submit.
 """
 
 import argparse
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +17,7 @@ from millrace.operators.events import order_created_events, payment_confirmed_ev
 from millrace.operators.staging import MESSAGE_KEY, MESSAGE_POSITION
 from millrace.plans import near_realtime, warehouse
 from millrace.sources.readers import kafka_stream
+from millrace.sources.published import drop_versions
 from millrace.sources.sinks import publish_messages
 from millrace.streaming.queries import await_any
 
@@ -43,6 +45,8 @@ def _arguments(words: list[str] | None = None) -> argparse.Namespace:
             job.add_argument("--event-key", choices=EVENT_KEYS, default="position")
         if name == "validate":
             job.add_argument("--matched-days-only", action="store_true")
+        if name == "gold":
+            job.add_argument("--top-products", type=int, default=10)
         for layer in ("raw", "curated", "gold"):
             job.add_argument(f"--{layer}", default=f"data/{layer}")
         if name == "replay":
@@ -62,10 +66,16 @@ def _arguments(words: list[str] | None = None) -> argparse.Namespace:
             job.add_argument("--payments-every", default="30 seconds")
         if name == "facts":
             job.add_argument("--sketch", action="store_true")
+        if name == "landing":
+            job.add_argument("--retention")
     mart = jobs.add_parser("mart")
     mart.add_argument("--mart", default="data/serving/mart_daily_sales")
     mart.add_argument("--sketched-customers", action="store_true")
-    for name in [*STREAMS, "mart"]:
+    mart.add_argument("--keep-versions", type=int, default=2)
+    compaction = jobs.add_parser("compact")
+    compaction.add_argument("--archive", default="data/archive")
+    compaction.add_argument("--grace-minutes", type=int, default=10)
+    for name in [*STREAMS, "mart", "compact"]:
         jobs.choices[name].add_argument("--tables", default="data/streaming")
         jobs.choices[name].add_argument("--checkpoints", default="data/checkpoints")
     return parser.parse_args(words)
@@ -74,7 +84,7 @@ def _arguments(words: list[str] | None = None) -> argparse.Namespace:
 def stream_options(options: argparse.Namespace) -> dict:
     """The options of a stream job as its plan takes them."""
     if options.job == "landing":
-        return {"every": options.every}
+        return {"every": options.every, "retention": options.retention}
     stateful = {
         "state_partitions": options.state_partitions,
         "copy_spread": options.copy_spread,
@@ -102,6 +112,9 @@ def main() -> None:
         if options.job == "validate":
             warehouse.validate(house, not options.matched_days_only)
             return
+        if options.job == "gold":
+            warehouse.build_gold(house, options.top_products)
+            return
         if options.job in BATCH:
             BATCH[options.job](house)
             return
@@ -115,6 +128,11 @@ def main() -> None:
         near_realtime.build_mart(
             spark, folders, options.mart, sketched_customers=options.sketched_customers
         )
+        drop_versions(spark, options.mart, keep=options.keep_versions)
+        return
+    if options.job == "compact":
+        closed_before = datetime.now(UTC) - timedelta(minutes=options.grace_minutes)
+        near_realtime.compact_landing(spark, folders, options.archive, closed_before)
         return
     topics = near_realtime.Topics(
         *(

@@ -9,6 +9,7 @@ which is how the given tables hold them.
 """
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +30,14 @@ from millrace.plans.near_realtime import (
     start_order_metrics,
     start_raw_landing,
 )
+from millrace.sources.published import drop_versions, publish, read_published
 from millrace.sources.readers import read_csv, read_events, read_table
 from millrace.sources.sinks import write_messages, write_table
 from millrace.sources.workspace import new_folder
-from millrace.streaming import facts
+from millrace.streaming import compaction, facts
 from millrace.streaming.landing import raw_landing
-from millrace.streaming.queries import run_to_end, start_parquet_query
-from millrace.streaming.wire import parse_order_created, parse_payment_confirmed
+from millrace.streaming.queries import late_rows, observed, run_to_end, start_parquet_query, stop_after
+from millrace.streaming.wire import REJECTIONS, parse_order_created, parse_payment_confirmed, rejected_payments
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -565,6 +567,127 @@ def landing_by_hour(spark, sf_dir):
     return hours.agg(F.count("*").alias("record_count"))
 
 
+def _by_landing_date(rows: DataFrame) -> DataFrame:
+    """How many records of a day there are, and a sum over what they say."""
+    return rows.groupBy(F.col("ingest_date").alias("landing_date")).agg(
+        F.count("*").alias("record_count"),
+        F.sum(F.crc32(F.col("raw_json").cast("binary"))).alias("text_sum"),
+    )
+
+
+@query
+def landing_compacted(spark, sf_dir):
+    """A landed archive by the broker's day, in six batches and two compactions.
+
+    Half of the batches land, the first ten days are compacted, the other half lands
+    with late records of those days, all is compacted, and what the first run has
+    replaced is deleted. Per day: what readers find, whether it is what landed, and
+    whether it lies in fewer files.
+    """
+    events = _events(spark, sf_dir)
+    folder = new_folder(spark, "compaction")
+    landing, archive = f"{folder}/landing", f"{folder}/archive"
+    schema = schemas.LANDED
+
+    def land(batches):
+        standins.write_batch(events, f"{folder}/topic", batches)
+        records = standins.order_records(standins.batch_stream(spark, f"{folder}/topic", events))
+        day = F.date_trunc("day", "kafka_ingest_ts")
+        run_to_end(
+            start_parquet_query(
+                raw_landing(records, processed_at=day),
+                landing,
+                f"{folder}/checkpoint",
+                every=None,
+                partition_by=compaction.HOUR,
+            )
+        )
+
+    def files_of(rows):
+        days = rows.groupBy(F.col("ingest_date").alias("landing_date"))
+        return days.agg(F.count_distinct("_metadata.file_path").alias("files"))
+
+    land(range(3))
+    compaction.compact(spark, landing, archive, schema, datetime(2024, 1, 11))
+    land(range(3, standins.BATCHES))
+    landed = read_table(spark, landing)
+    before = _by_landing_date(landed).join(files_of(landed), "landing_date")
+    write_table(before, f"{folder}/before")
+    compaction.compact(spark, landing, archive, schema, datetime(2100, 1, 1))
+    compaction.drop_replaced(spark, landing, archive)
+    found = compaction.read_landed(spark, landing, archive, schema)
+    hours = read_table(spark, f"{archive}/hours")
+    after = _by_landing_date(found).join(files_of(hours), "landing_date")
+    was = read_table(spark, f"{folder}/before").select(
+        "landing_date", *(F.col(name).alias(f"old_{name}") for name in ("record_count", "text_sum", "files"))
+    )
+    same = (F.col("record_count") == F.col("old_record_count")) & (F.col("text_sum") == F.col("old_text_sum"))
+    fewer = (F.col("files") < F.col("old_files")) | (F.col("old_files") <= 2)
+    return after.join(was, "landing_date").select(
+        "landing_date", "record_count", same.alias("rows_are_equal"), fewer.alias("files_are_fewer")
+    )
+
+
+@query
+def stream_late_orders(spark, sf_dir):
+    """Order counts over six batches in which every twentieth event comes late, with
+    the rows of all batches that came too late."""
+    events = _events(spark, sf_dir)
+    folders = _stream_folders(spark)
+    topic = f"{folders.tables}/topic"
+    standins.write_batch(events, topic, range(standins.BATCHES))
+    orders = parse_order_created(standins.order_records(standins.batch_stream(spark, topic, events)))
+    running = folders.start(facts.order_count_10m(orders), "result", every=None)
+    run_to_end(running)
+    windows = read_table(spark, f"{folders.tables}/result")
+    return windows.withColumn("late_rows", F.lit(late_rows(running)).cast("long"))
+
+
+@query
+def stream_late_orders_resumed(spark, sf_dir):
+    """The same stream, stopped after two batches and resumed from its checkpoint."""
+    events = _events(spark, sf_dir)
+    folders = _stream_folders(spark)
+    topic = f"{folders.tables}/topic"
+    standins.write_batch(events, topic, range(standins.BATCHES))
+
+    def start(every):
+        records = standins.order_records(standins.batch_stream(spark, topic, events))
+        return folders.start(facts.order_count_10m(parse_order_created(records)), "result", every=every)
+
+    last = stop_after(start("100 milliseconds"), batches=2)
+    run_to_end(start(None))
+    windows = read_table(spark, f"{folders.tables}/result")
+    return windows.withColumn("was_stopped_underway", F.lit(last >= 1))
+
+
+@query
+def stream_rejected_payments(spark, sf_dir):
+    """By batch, the payments kept and, by reason, the records left out, as the stream
+    itself counts them."""
+    events = _events(spark, sf_dir)
+    folders = _stream_folders(spark)
+    topic = f"{folders.tables}/topic"
+    standins.write_batch(events, topic, range(standins.BATCHES))
+    records = standins.faulty_payment_records(standins.batch_stream(spark, topic, events))
+    parsed = parse_payment_confirmed(records, observed="payments")
+    running = folders.start(parsed, "result", every=None)
+    run_to_end(running)
+    counts = [
+        (batch, reason, figures[reason], figures["records"] == sum(figures.values()) - figures["records"])
+        for batch, figures in observed(running, "payments")
+        for reason in ("kept", *REJECTIONS)
+    ]
+    return spark.createDataFrame(counts, "batch long, reason string, record_count long, adds_up boolean")
+
+
+@query
+def rejected_payments_by_reason(spark, sf_dir):
+    """The records that payment parsing leaves out, over the whole archive."""
+    records = standins.faulty_payment_records(_events(spark, sf_dir))
+    return rejected_payments(records).groupBy("reason").agg(F.count("*").alias("record_count"))
+
+
 # Mart
 
 
@@ -588,12 +711,79 @@ def mart_daily_sales_from_archive(spark, sf_dir):
     return _batch_mart(spark, sf_dir).drop("unique_customer_count")
 
 
+def _close(estimate: str, truth: str):
+    return F.abs(F.col(estimate) - F.col(truth)) <= 0.15 * F.col(truth) + 1
+
+
+def _customers(orders: DataFrame) -> DataFrame:
+    """Exact customers of each day, once per window and once per day, in one pass."""
+    day = "sales_date"
+    per_window = orders.groupBy(
+        F.to_date("event_ts").alias(day),
+        F.window("event_ts", "5 minutes").getField("start").alias("start"),
+        "customer_id",
+    ).agg(F.count("*").alias("orders"))
+    per_customer = per_window.groupBy(day, "customer_id").agg(F.count("*").alias("windows"))
+    return per_customer.groupBy(day).agg(
+        F.sum("windows").alias("window_customers"), F.count("customer_id").alias("day_customers")
+    )
+
+
 @query
 def mart_daily_sales_from_streams(spark, sf_dir):
+    """The mart from streamed facts with sketches kept in their state.
+
+    Its customers are estimates, once added up over windows and once merged over the
+    day; both are compared with exact counts over the windows that have closed.
+    """
     folders = _stream_folders(spark)
-    run_to_end(*start_facts(_topics(spark, sf_dir), folders, every=None))
-    mart = mart_from_facts(spark, folders)
-    return mart.drop("unique_customer_count")
+    run_to_end(*start_facts(_topics(spark, sf_dir), folders, every=None, sketch=True))
+    merged = mart_from_facts(spark, folders, sketched_customers=True)
+    merged = merged.withColumnRenamed("unique_customer_count", "merged")
+    added = mart_from_facts(spark, folders).select("sales_date", F.col("unique_customer_count").alias("added"))
+    closed = read_table(spark, f"{folders.tables}/fact_realtime_orders_5m").select("window_start")
+    orders = parse_order_created(standins.order_records(_events(spark, sf_dir)), lineage=False)
+    window = F.window("event_ts", "5 minutes").getField("start")
+    exact = _customers(orders.withColumn("window_start", window).join(closed, "window_start", "left_semi"))
+    rows = merged.join(added, "sales_date").join(exact, "sales_date")
+    return rows.withColumns(
+        {
+            "unique_customer_count_is_close": _close("added", "window_customers"),
+            "sketched_customer_count_is_close": _close("merged", "day_customers"),
+        }
+    ).drop("merged", "added", "window_customers", "day_customers")
+
+
+@query
+def mart_of_flat_replay(spark, sf_dir):
+    """The mart when a replay gives all payments one time: none of their windows ever
+    closes, the payment stream commits no row, and every day has revenue zero."""
+    folders = _stream_folders(spark)
+    events = standins.table_stream(spark, sf_dir, "events")
+    flat = standins.payment_records_at(events, schemas.REPLAY_EVENT_TIME)
+    run_to_end(*start_facts(Topics(standins.order_records(events), flat), folders, every=None))
+    return mart_from_facts(spark, folders).drop("unique_customer_count")
+
+
+@query
+def mart_published_twice(spark, sf_dir):
+    """The published mart after a first version of half of the facts, a second of all,
+    and a third that failed its check."""
+    path = new_folder(spark, "mart")
+    order_facts, payment_facts = _batch_facts(spark, sf_dir)
+    half = F.col("window_start") < F.lit("2024-01-16").cast("timestamp")
+    publish(mart_daily_sales(order_facts.where(half), payment_facts.where(half)), path)
+    mart = mart_daily_sales(order_facts, payment_facts)
+    publish(mart, path, check=lambda written: quality.require_passed(quality.check_serving(written)))
+
+    def refuse(written):
+        raise quality.QualityError("refused")
+
+    try:
+        publish(mart.limit(0), path, check=refuse)
+    except quality.QualityError:
+        drop_versions(spark, path, keep=1)
+    return read_published(spark, path).drop("unique_customer_count")
 
 
 @query
@@ -603,41 +793,24 @@ def mart_customer_estimates(spark, sf_dir):
     The additive count is compared with the sum of exact per-window counts, the
     sketched one with the exact distinct customers of the day.
     """
-    order_facts, payment_facts = _batch_facts(spark, sf_dir, sketch=True)
-    day, customers = "sales_date", "unique_customer_count"
-    added = mart_daily_sales(order_facts, payment_facts).select(
-        day, F.col(customers).alias("added")
-    )
-    merged = mart_daily_sales(
-        order_facts, payment_facts, sketched_customers=True
-    ).select(day, F.col(customers).alias("merged"))
-    orders = parse_order_created(
-        standins.order_records(_events(spark, sf_dir)), lineage=False
-    )
-    per_window = orders.groupBy(
-        F.to_date("event_ts").alias(day),
-        F.window("event_ts", "5 minutes").getField("start").alias("start"),
-        "customer_id",
-    ).agg(F.count("*").alias("orders"))
-    exact = per_window.groupBy(day, "customer_id").agg(
-        F.count("*").alias("windows")
-    ).groupBy(day).agg(
-        F.sum("windows").alias("window_customers"),
-        F.count("customer_id").alias("day_customers"),
-    )
-
-    def close(estimate, truth):
-        bound = 0.15 * F.col(truth) + 1
-        return F.abs(F.col(estimate) - F.col(truth)) <= bound
-
-    return (
-        exact.join(added, on=day)
-        .join(merged, on=day)
-        .select(
-            day,
-            "window_customers",
-            "day_customers",
-            close("added", "window_customers").alias("added_is_close"),
-            close("merged", "day_customers").alias("merged_is_close"),
+    events = _events(spark, sf_dir)
+    orders = parse_order_created(standins.order_records(events), lineage=False)
+    path = new_folder(spark, "estimates")
+    write_table(facts.fact_realtime_orders_5m(orders, sketch=True), path)
+    order_facts = read_table(spark, path)
+    no_payments = spark.createDataFrame([], schemas.PAYMENT_FACTS)
+    estimates = {"added": False, "merged": True}
+    added, merged = (
+        mart_daily_sales(order_facts, no_payments, sketched_customers=sketched).select(
+            "sales_date", F.col("unique_customer_count").alias(name)
         )
+        for name, sketched in estimates.items()
+    )
+    days = added.join(merged, "sales_date")
+    return _customers(orders).join(days, "sales_date").select(
+        "sales_date",
+        "window_customers",
+        "day_customers",
+        _close("added", "window_customers").alias("added_is_close"),
+        _close("merged", "day_customers").alias("merged_is_close"),
     )

@@ -28,6 +28,11 @@ def usable(value: Column) -> Column:
     return (value >= 0) & (value <= LARGEST_AMOUNT)
 
 
+def usable_sum(value: Column) -> Column:
+    """Whether a sum of amounts is one: zero or more and finite, however large."""
+    return (value >= 0) & (value < F.lit(float("inf")))
+
+
 def _in_cents(value: Column) -> Column:
     return F.round(value * 100).cast("long")
 
@@ -41,6 +46,11 @@ def addend(value: Column, exact: bool = False) -> Column:
     return _in_cents(value) if exact else value
 
 
+def addend_of_sum(value: Column, exact: bool = False) -> Column:
+    """What to add up for an amount that is a sum itself: cents beyond a long's range."""
+    return F.round(value * 100).cast("decimal(28,0)") if exact else value
+
+
 def from_addend(summed: Column, exact: bool = False) -> Column:
     return summed / F.lit(100.0) if exact else summed
 

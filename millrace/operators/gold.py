@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import money
+from millrace.functions.best import keep_best
 from millrace.functions.cleaning import calendar
 from millrace.operators.payments import (
     payment_facts_by_order,
@@ -28,8 +29,6 @@ from millrace.operators.payments import (
 from millrace.schemas import UNKNOWN
 
 GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
-#: Parts in which the products of a day are ranked first when many are wanted.
-PARTS_OF_DAY = 32
 
 
 def _with_summary_calendar(summary: DataFrame) -> DataFrame:
@@ -243,11 +242,11 @@ def top_products_by_day(
 ) -> DataFrame:
     """Per day: the ``k`` products with the highest revenue, freight excluded.
 
-    Equal revenues rank by product id. The rank filter limits each day before
-    the shuffle, so a day with many products does not gather in one task. Spark
-    does so up to ``spark.sql.optimizer.windowGroupLimitThreshold``; for a larger
-    ``k`` the products of a day are first ranked in parts, of which each keeps
-    ``k``, so that at most that many per part meet in one task.
+    Equal revenues rank by product id. At most ``k`` products of a day leave a map
+    task, however many it holds: up to ``spark.sql.optimizer.windowGroupLimitThreshold``
+    Spark pushes the rank filter below the shuffle itself; for a larger ``k`` each
+    task keeps the ``k`` best of every day, batch by batch, and the shuffle brings
+    those together.
     """
     price = F.col("price_amount")
     per_order = staged_items.groupBy("order_id", "product_id").agg(
@@ -266,14 +265,8 @@ def top_products_by_day(
     by_revenue = Window.partitionBy("event_date").orderBy(
         F.col("product_revenue").desc(), F.col("product_id").asc()
     )
-    limited = int(products.sparkSession.conf.get(GROUP_LIMIT))
-    if k > limited:
-        part = F.pmod(F.xxhash64("product_id"), F.lit(PARTS_OF_DAY)).alias("_part")
-        in_part = Window.partitionBy("event_date", "_part").orderBy(
-            F.col("product_revenue").desc(), F.col("product_id").asc()
-        )
-        parts = products.select("*", part)
-        parts = parts.withColumn("_rank", F.row_number().over(in_part))
-        products = parts.filter(F.col("_rank") <= k).drop("_part", "_rank")
+    if k > int(products.sparkSession.conf.get(GROUP_LIMIT)):
+        order = [("product_revenue", "descending"), ("product_id", "ascending")]
+        products = keep_best(products, "event_date", order, k)
     ranked = products.withColumn("rank_in_day", F.row_number().over(by_revenue))
     return _with_summary_calendar(ranked.filter(F.col("rank_in_day") <= k))

@@ -15,8 +15,9 @@ def mart_daily_sales(
 ) -> DataFrame:
     """Per day with orders: counts, revenue and average order value.
 
-    Days that have payments only are left out. A window whose revenue is no usable
-    amount adds nothing; ``build_mart`` refuses such facts. ``unique_customer_count`` adds up
+    Days that have payments only are left out. A window whose revenue is negative or
+    not finite adds nothing, and ``build_mart`` refuses such facts; the limit of one
+    price doesn't hold for the sum of a window. ``unique_customer_count`` adds up
     the windows, so a customer counts once per window. When the order facts carry
     ``customer_sketch``, ``sketched_customers=True`` merges the sketches instead
     and estimates the day's distinct customers.
@@ -30,8 +31,8 @@ def mart_daily_sales(
         F.sum("order_created_count").alias("order_count"),
         customers.alias("unique_customer_count"),
     )
-    counted = F.when(money.usable(F.col("payment_revenue")), F.col("payment_revenue"))
-    revenue = money.addend(counted, exact_cents)
+    counted = F.when(money.usable_sum(F.col("payment_revenue")), F.col("payment_revenue"))
+    revenue = money.addend_of_sum(counted, exact_cents)
     payment_days = payment_facts.groupBy(day).agg(
         F.sum("payment_confirmed_count").alias("payment_confirmed_count"),
         F.sum(revenue).alias("_revenue"),

@@ -253,6 +253,44 @@ HAVING window_end <= (SELECT max(ts) - INTERVAL '20 minutes' FROM order_events)
 """
 
 
+_BATCH = """greatest(0, least(5, CAST(floor(date_diff('day', DATE '2024-01-01',
+       CAST(ts AS DATE)) / 5.0) AS BIGINT) + CASE WHEN event_id % 20 = 0 THEN 2 ELSE 0 END))"""
+_JUDGED_PAYMENTS = f"""
+SELECT event_id, {_BATCH} AS batch, CASE
+    WHEN event_id % 50 = 9 THEN 'no_text'
+    WHEN event_id % 50 IN (1, 2) THEN 'malformed'
+    WHEN event_id % 50 = 3 THEN 'wrong_type'
+    WHEN event_id % 50 = 8 OR event_type IS NULL THEN 'no_event_type'
+    WHEN event_type <> 'purchase' THEN 'other_event'
+    WHEN event_id % 50 = 7 THEN 'no_id'
+    WHEN event_id % 50 IN (4, 5) OR value IS NULL OR NOT value BETWEEN 0 AND 1e12 THEN 'unusable_amount'
+    WHEN event_id % 50 = 6 OR ts IS NULL THEN 'unusable_time'
+    ELSE 'kept' END AS reason
+FROM events
+"""
+
+
+def _late_orders(figure: str) -> str:
+    """Ten-minute counts over the arriving batches. A row is late when it is behind the
+    watermark that the batch before the last one has left."""
+    return _with(
+        "order_events",
+        f"""
+, arriving AS (SELECT event_id, ts, {_BATCH} AS batch FROM order_events),
+marks AS (SELECT b AS batch, (SELECT max(ts) FROM arriving WHERE batch <= b - 2)
+          - INTERVAL '20 minutes' AS watermark FROM range(6) AS t(b)),
+in_time AS (SELECT ts FROM arriving JOIN marks USING (batch)
+            WHERE watermark IS NULL OR ts > watermark)
+SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start,
+       time_bucket(INTERVAL '10 minutes', ts) + INTERVAL '10 minutes' AS window_end,
+       count(*) AS order_created_count, {figure}
+FROM in_time
+GROUP BY 1, 2
+HAVING window_end <= (SELECT max(ts) - INTERVAL '20 minutes' FROM arriving)
+""",
+    )
+
+
 def _mart(orders: str, payments: str) -> str:
     """Daily mart over two expressions with window_start, n and, for money, cents."""
     return f"""
@@ -695,12 +733,46 @@ SELECT CAST(ts AS DATE) AS landing_date, CAST(hour(ts) AS INTEGER) AS landing_ho
        count(*) AS record_count
 FROM events
 GROUP BY 1, 2
+""",
+    "landing_compacted": """
+SELECT CAST(ts AS DATE) AS landing_date, count(*) AS record_count,
+       TRUE AS rows_are_equal, TRUE AS files_are_fewer
+FROM events
+GROUP BY 1
+""",
+    "stream_late_orders": _late_orders(
+        """(SELECT count(*) FROM arriving) - (SELECT count(*) FROM in_time) AS late_rows"""
+    ),
+    "stream_late_orders_resumed": _late_orders("TRUE AS was_stopped_underway"),
+    "stream_rejected_payments": f"""
+WITH judged AS ({_JUDGED_PAYMENTS})
+SELECT batch, reason, count(judged.event_id) AS record_count, TRUE AS adds_up
+FROM (SELECT b AS batch, r AS reason
+      FROM range(6) AS t(b), unnest(['kept', 'no_text', 'malformed', 'wrong_type', 'no_event_type',
+           'other_event', 'no_id', 'unusable_amount', 'unusable_time']) AS u(r))
+LEFT JOIN judged USING (batch, reason)
+GROUP BY ALL
+""",
+    "rejected_payments_by_reason": f"""
+SELECT reason, count(*) AS record_count
+FROM ({_JUDGED_PAYMENTS}) WHERE reason <> 'kept' GROUP BY 1
 """,
     "mart_daily_sales_from_archive": _with(
         "order_events payment_events", _mart(_ORDERS_BY_MINUTE, _PAYMENTS_BY_MINUTE)
     ),
     "mart_daily_sales_from_streams": _with(
-        "closed_orders closed_payments", _mart("closed_orders", "closed_payments")
+        "closed_orders closed_payments",
+        f"""
+SELECT *, TRUE AS unique_customer_count_is_close, TRUE AS sketched_customer_count_is_close
+FROM ({_mart("closed_orders", "closed_payments").strip()})
+""",
+    ),
+    "mart_published_twice": _with(
+        "order_events payment_events", _mart(_ORDERS_BY_MINUTE, _PAYMENTS_BY_MINUTE)
+    ),
+    "mart_of_flat_replay": _with(
+        "closed_orders",
+        _mart("closed_orders", "(SELECT window_start, n, 0 AS cents FROM closed_orders WHERE FALSE)"),
     ),
     "mart_customer_estimates": _with(
         "order_events",
@@ -734,8 +806,8 @@ _DATES = {
         clean_orders_basic curate_orders csv_orders_scan partitioned_orders_scan""",
     "sales_date": """
         mart_daily_sales_from_archive mart_daily_sales_from_streams
-        mart_customer_estimates""",
-    "landing_date": "landing_by_hour",
+        mart_published_twice mart_of_flat_replay mart_customer_estimates""",
+    "landing_date": "landing_by_hour landing_compacted",
 }
 _DATE_OF = {
     query: date for date, queries in _DATES.items() for query in queries.split()

@@ -1,6 +1,7 @@
 """Streaming flow: two topics to raw archives, windowed facts and the daily mart."""
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,10 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.functions import money
 from millrace.operators import quality
 from millrace.operators.mart import mart_daily_sales
-from millrace.schemas import ORDER_FACTS, PAYMENT_FACTS
-from millrace.sources.readers import read_table, read_table_or_empty
-from millrace.sources.sinks import write_table
+from millrace.schemas import LANDED, ORDER_FACTS, PAYMENT_FACTS
+from millrace.sources.published import publish
+from millrace.sources.readers import read_sink_or_empty
 from millrace.streaming import facts
+from millrace.streaming.compaction import compact, drop_replaced
 from millrace.streaming.landing import raw_landing
 from millrace.streaming.queries import start_parquet_query
 from millrace.streaming.wire import parse_order_created, parse_payment_confirmed
@@ -40,12 +42,16 @@ class Folders:
 
 
 def start_raw_landing(
-    topics: Topics, folders: Folders, every: str | None = "10 seconds"
+    topics: Topics,
+    folders: Folders,
+    every: str | None = "10 seconds",
+    retention: str | None = None,
 ) -> list[StreamingQuery]:
     """Archive both topics by processing date and hour."""
     by_hour = ("ingest_date", "ingest_hour")
+    kept = {"every": every, "partition_by": by_hour, "retention": retention}
     return [
-        folders.start(raw_landing(records), name, every=every, partition_by=by_hour)
+        folders.start(raw_landing(records), name, **kept)
         for name, records in (
             ("raw_order_created", topics.orders),
             ("raw_payment_confirmed", topics.payments),
@@ -103,12 +109,12 @@ def start_facts(
 
 
 def _facts(spark: SparkSession, folders: Folders) -> tuple[DataFrame, DataFrame]:
-    """Both fact tables; one without a commit so far is empty."""
+    """What both fact streams have committed so far, perhaps nothing."""
     return (
-        read_table_or_empty(
+        read_sink_or_empty(
             spark, f"{folders.tables}/fact_realtime_orders_5m", ORDER_FACTS
         ),
-        read_table_or_empty(
+        read_sink_or_empty(
             spark, f"{folders.tables}/fact_payment_status_5m", PAYMENT_FACTS
         ),
     )
@@ -124,16 +130,30 @@ def mart_from_facts(
     )
 
 
-def build_mart(spark: SparkSession, folders: Folders, path: str, **options) -> None:
-    """Write the mart from the facts so far, check it, then replace the published one.
+def build_mart(spark: SparkSession, folders: Folders, path: str, **options) -> int:
+    """Write the mart from the facts so far, check it, then make it the published one.
 
-    A mart that fails its checks stays in the folder ``<path>_next``, and the
-    published one stays as it was.
+    Readers take it with ``read_published``. A mart that fails its checks, or whose
+    write breaks off, gets no version, and the one before it stays. The version.
     """
     _, payments = _facts(spark, folders)
-    revenue = {"payment_revenue is not usable": ~money.usable(F.col("payment_revenue"))}
+    revenue = {"payment_revenue is not usable": ~money.usable_sum(F.col("payment_revenue"))}
     quality.require_passed(quality.count_failures(payments, revenue))
-    write_table(mart_from_facts(spark, folders, **options), f"{path}_next")
-    checked = read_table(spark, f"{path}_next")
-    quality.require_passed(quality.check_serving(checked))
-    write_table(checked, path)
+
+    def check(written: DataFrame) -> None:
+        quality.require_passed(quality.check_serving(written))
+
+    return publish(mart_from_facts(spark, folders, **options), path, check=check)
+
+
+def compact_landing(
+    spark: SparkSession, folders: Folders, archive: str, closed_before: datetime
+) -> dict[str, str | None]:
+    """Compact the closed hours of both raw archives, and delete the landing files that
+    runs before these have replaced. The names of the runs."""
+    done = {}
+    for name in ("raw_order_created", "raw_payment_confirmed"):
+        landing, copied = f"{folders.tables}/{name}", f"{archive}/{name}"
+        done[name] = compact(spark, landing, copied, LANDED, closed_before)
+        drop_replaced(spark, landing, copied)
+    return done

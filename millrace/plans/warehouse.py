@@ -91,7 +91,7 @@ def build_daily_orders_payments(house: Warehouse, exact_cents=True) -> None:
     )
 
 
-def build_gold(house: Warehouse, exact_cents=True) -> None:
+def build_gold(house: Warehouse, top_products: int = 10, exact_cents=True) -> None:
     """The five gold tables, each laid out by year and month."""
     orders = house.table("stg_orders")
     paid = house.table("stg_payments")
@@ -103,7 +103,7 @@ def build_gold(house: Warehouse, exact_cents=True) -> None:
         ),
         "payment_ratio_by_day": gold.payment_ratio_by_day(orders, paid, exact_cents),
         "top_products_by_day": gold.top_products_by_day(
-            orders, house.table("stg_order_items"), exact_cents=exact_cents
+            orders, house.table("stg_order_items"), top_products, exact_cents=exact_cents
         ),
     }
     for name, table in tables.items():

@@ -103,6 +103,20 @@ PAYMENT_FACTS = _facts(
     ("avg_payment_value", "double"),
 )
 
+#: What a landing stream writes, with the folders it writes to.
+LANDED = (
+    StructType()
+    .add("topic", "string")
+    .add("partition", "integer")
+    .add("offset", "long")
+    .add("kafka_ingest_ts", "timestamp")
+    .add("message_key", "string")
+    .add("raw_json", "string")
+    .add("processed_at", "timestamp")
+    .add("ingest_date", "date")
+    .add("ingest_hour", "integer")
+)
+
 # Code lists, limits and event names of the data model.
 ORDER_STATUSES = (
     "created",

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from millrace.schemas import event_envelope
+from millrace.sources.files import exists
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -42,6 +43,29 @@ def read_table_or_empty(
         raise
 
 
+def read_json_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines, or no rows while none have been written yet."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(path)
+
+
+def read_sink_or_empty(
+    spark: SparkSession, path: str, schema: StructType
+) -> DataFrame:
+    """What a streaming query has committed to its Parquet folder, or no rows.
+
+    The sink's log names the files of committed batches. A folder without a log and
+    without the mark of a finished batch job holds at most files of an unfinished
+    first batch, which no commit has named: they are not rows yet.
+    """
+    if exists(spark, f"{path}/_spark_metadata"):
+        return spark.read.schema(schema).parquet(path)
+    if exists(spark, f"{path}/_SUCCESS"):
+        return read_table_or_empty(spark, path, schema)
+    return spark.createDataFrame([], schema)
+
+
 def local_rows(
     spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]
 ) -> DataFrame:

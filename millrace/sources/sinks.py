@@ -11,8 +11,10 @@ from millrace.sources.session import session_settings
 _USE_ALL_CORES = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}
 
 
-def write_table(table: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a Parquet table, optionally in Hive-style folders.
+def write_table(
+    table: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
+) -> None:
+    """Replace a Parquet table, or add to it, optionally in Hive-style folders.
 
     Rows are rebalanced by the partition columns first. Without that every task
     writes a small file into every folder it has a row for; with it a folder gets
@@ -20,11 +22,11 @@ def write_table(table: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     several tasks of the advisory partition size.
     """
     if not partition_by:
-        table.write.mode("overwrite").parquet(path)
+        table.write.mode(mode).parquet(path)
         return
     balanced = table.hint("rebalance", *partition_by)
     with session_settings(table.sparkSession, _USE_ALL_CORES):
-        balanced.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        balanced.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def publish_messages(messages: DataFrame, bootstrap_servers: str, topic: str) -> None:

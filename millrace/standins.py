@@ -133,9 +133,13 @@ def envelopes(events: DataFrame) -> DataFrame:
 
 
 def _records(events: DataFrame, topic: str, *payload: Column) -> DataFrame:
+    return _wire(events, topic, F.to_json(F.struct(*payload)))
+
+
+def _wire(events: DataFrame, topic: str, text: Column) -> DataFrame:
     return events.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
-        F.to_json(F.struct(*payload)).cast("binary").alias("value"),
+        text.cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
@@ -195,3 +199,53 @@ def event_payments(events: DataFrame) -> DataFrame:
         F.lit(1).alias("payment_installments"),
         F.col("value").alias("payment_value"),
     )
+
+
+#: Batches that a table of events arrives in; days of one; batches a late event waits.
+BATCHES, DAYS_OF_BATCH, BATCHES_LATE = 6, 5, 2
+
+
+def arrival_batch(events: DataFrame) -> Column:
+    """The batch in which an event arrives: by its day, but every twentieth is late."""
+    first = F.lit("2024-01-01").cast("date")
+    in_time = F.floor(F.date_diff(F.to_date("ts"), first) / DAYS_OF_BATCH)
+    late = F.when(F.col("event_id") % 20 == 0, BATCHES_LATE).otherwise(0)
+    return F.greatest(F.lit(0), F.least(F.lit(BATCHES - 1), in_time + late)).cast("int")
+
+
+def write_batch(events: DataFrame, path: str, batches: range) -> None:
+    """Add the events of some batches to a folder, one file after the other."""
+    batch = arrival_batch(events)
+    for number in batches:
+        events.where(batch == number).coalesce(1).write.mode("append").parquet(path)
+
+
+def batch_stream(spark: SparkSession, path: str, events: DataFrame) -> DataFrame:
+    """The files of ``write_batch`` as a stream of one file per batch."""
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    return stream.parquet(path)
+
+
+def faulty_payment_records(events: DataFrame) -> DataFrame:
+    """Payment records of which nine in fifty have a fault of one kind each."""
+    kind = F.col("event_id") % 50
+    payload = {
+        "order_id": F.when(kind != 7, F.col("event_id").cast("string")),
+        "payment_id": F.concat(F.lit("P"), F.col("event_id").cast("string")),
+        "event_type": F.when(kind != 8, _event_type()),
+        "event_time": F.when(kind == 6, "soon").otherwise(F.col("ts").cast("string")),
+        "payment_value": F.when(kind == 3, "a lot")
+        .when(kind == 4, "-1.5")
+        .when(kind == 5, "1e15")
+        .otherwise(F.col("value").cast("string")),
+    }
+    text = F.to_json(F.struct(*(value.alias(name) for name, value in payload.items())))
+    number = r'"payment_value":"([-0-9.eE]+)"'
+    text = F.regexp_replace(text, number, '"payment_value":$1')
+    text = F.when(kind == 1, "not json").when(kind == 2, F.substring(text, 1, 20)).when(kind != 9, text)
+    return _wire(events, PAYMENT_TOPIC, text)
+
+
+def payment_records_at(events: DataFrame, moment: str) -> DataFrame:
+    """Payment records that all have one event time, as a replay without times sends."""
+    return payment_records(events.withColumn("ts", F.lit(moment).cast("timestamp_ntz")))
