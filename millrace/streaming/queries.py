@@ -44,7 +44,7 @@ def start_parquet_query(
     """Append a stream to a Parquet folder, exactly once across restarts.
 
     ``every`` is the processing-time trigger; None works off what is there and
-    then stops. ``retention``, such as "7 days", drops older files from the sink's
+    then stops. ``retention``, such as "7d", drops older files from the sink's
     log, which otherwise names every file forever; only what has been compacted by
     then is still read.
     """

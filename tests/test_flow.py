@@ -134,3 +134,35 @@ def test_stream_jobs_pass_every_option():
     }
     metrics = jobs.stream_options(jobs._arguments(["order-metrics", "--servers", "b:1", "--payments-every", "5 seconds"]))
     assert metrics["payments_every"] == "5 seconds" and metrics["state_partitions"] is None
+
+
+def test_landing_and_gold_options():
+    landing = jobs.stream_options(jobs._arguments(["landing", "--servers", "b:1", "--retention", "7d"]))
+    assert landing == {"every": "10 seconds", "retention": "7d"}
+    assert jobs._arguments(["gold", "--top-products", "50"]).top_products == 50
+    assert jobs._arguments(["compact"]).grace_minutes == 10
+
+
+def test_the_size_of_the_ranking_comes_from_the_job_line(house, monkeypatch):
+    folders = ["--raw", house.raw, "--curated", house.curated, "--gold", house.gold]
+    for step in (["staged"], ["gold", "--top-products", "1"]):
+        monkeypatch.setattr("sys.argv", ["jobs.py", *step, *folders])
+        jobs.main()
+    assert {row.rank_in_day for row in house.gold_table("top_products_by_day").collect()} == {1}
+
+
+def test_the_mart_and_compact_jobs(spark, tmp_path, monkeypatch):
+    from millrace.schemas import ORDER_FACTS
+    from millrace.sources.published import read_published
+
+    tables = ["--tables", str(tmp_path / "tables"), "--checkpoints", str(tmp_path / "checkpoints")]
+    spark.createDataFrame([], ORDER_FACTS).write.parquet(str(tmp_path / "tables" / "fact_realtime_orders_5m"))
+    monkeypatch.setattr("sys.argv", ["jobs.py", "compact", *tables, "--archive", str(tmp_path / "archive")])
+    jobs.main()
+    day = "timestamp'2018-01-01 10:00:00'"
+    rows = spark.sql(f"select {day} as window_start, {day} as window_end, 2L as order_created_count, 1L as unique_customer_count, binary('') as customer_sketch, {day} as processed_at")
+    rows.write.mode("append").parquet(str(tmp_path / "tables" / "fact_realtime_orders_5m"))
+    monkeypatch.setattr("sys.argv", ["jobs.py", "mart", *tables, "--mart", str(tmp_path / "mart"), "--keep-versions", "1"])
+    for _ in range(2):
+        jobs.main()
+    assert [row.order_count for row in read_published(spark, str(tmp_path / "mart")).collect()] == [2]

@@ -5,6 +5,10 @@ from datetime import datetime
 
 import pytest
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from millrace.functions.best import keep_best
 from millrace.functions.dedup import keep_one
 from millrace.operators import gold, payments
 from millrace.sources.session import session_settings
@@ -197,3 +201,36 @@ def test_a_hot_order_joins_as_one_row_per_product(spark):
     with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         shuffles = shuffled_rows(gold.top_products_by_day(orders, items))
     assert max(shuffles) <= TASKS * 31 * products
+
+
+@pytest.mark.parametrize("k", [5, 1500])
+def test_at_most_k_products_of_a_day_leave_a_task(spark, k):
+    """One day has most of the products; k is above Spark's own limit, too."""
+    products = 12_000
+    items = spark.range(0, products, 1, TASKS).selectExpr(
+        "concat('o', id % 10) as order_id", "concat('p', id) as product_id", "cast(id % 977 as double) as price_amount"
+    )
+    orders = spark.range(10).selectExpr(
+        "concat('o', id) as order_id", "if(id < 9, date'2018-01-01', date'2018-01-02') as event_date"
+    )
+    top = gold.top_products_by_day(orders, items, k=k)
+    shuffles = shuffled_rows(top)
+    assert shuffles[0] <= k * 2 * TASKS
+    ranked = sorted(((-(i % 977), f"p{i}") for i in range(products) if i % 10 < 9))[:k]
+    found = top.filter("event_date = '2018-01-01'").orderBy("rank_in_day").collect()
+    assert [(-row.product_revenue, row.product_id) for row in found] == ranked
+
+
+def test_the_best_of_a_group_with_nulls_ties_and_many_batches(spark):
+    rows = [(g, None if i % 7 == 0 else i % 5, None if i % 11 == 0 else f"n{i % 13}") for i in range(900) for g in (None, "a", "b")]
+    frame = spark.createDataFrame(rows, "g string, value int, name string").repartition(3)
+    by = Window.partitionBy("g").orderBy(F.col("value").desc(), F.col("name").asc())
+    with session_settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "40"}):
+        best = keep_best(frame, "g", [("value", "descending"), ("name", "ascending")], 30)
+        assert best.count() <= 3 * 3 * 30
+
+        def top(table):
+            return sorted(map(str, table.withColumn("r", F.row_number().over(by)).filter("r <= 30").collect()))
+
+        assert top(best) == top(frame)
+        assert keep_best(frame.limit(0), "g", [("value", "descending")], 3).count() == 0

@@ -13,10 +13,17 @@ from millrace.plans.near_realtime import (
     start_order_metrics,
     start_raw_landing,
 )
+from millrace.sources.published import read_published
 from millrace.streaming import facts
 from millrace.streaming.landing import raw_landing
-from millrace.streaming.queries import await_any, run_to_end, start_parquet_query
-from millrace.streaming.wire import parse_order_created, parse_payment_confirmed
+from millrace.streaming.queries import await_any, late_rows, observed, run_to_end, start_parquet_query, stop_after
+from millrace.streaming.wire import (
+    REJECTIONS,
+    parse_order_created,
+    parse_payment_confirmed,
+    rejected_orders,
+    rejected_payments,
+)
 
 START = datetime(2026, 5, 14, 10)
 LATER = datetime(2026, 5, 14, 12)
@@ -220,8 +227,8 @@ def test_facts_and_mart(spark, closed_topics, folders, tmp_path, sketched, custo
         "10:25": 9.0,
     }
     path = str(tmp_path / "mart")
-    build_mart(spark, folders, path, sketched_customers=sketched)
-    row = spark.read.parquet(path).first()
+    assert build_mart(spark, folders, path, sketched_customers=sketched) == 1
+    row = read_published(spark, path).first()
     assert str(row.sales_date) == "2026-05-14"
     assert (row.order_count, row.unique_customer_count) == (10, customers)
     assert (row.payment_confirmed_count, row.total_revenue, row.avg_order_value) == (
@@ -237,14 +244,14 @@ def test_a_mart_without_payment_facts_and_one_that_fails_its_checks(spark, folde
     spark.createDataFrame(orders, columns).write.parquet(f"{folders.tables}/fact_realtime_orders_5m")
     path = str(tmp_path / "mart")
     build_mart(spark, folders, path)
-    published = spark.read.parquet(path).collect()
+    published = read_published(spark, path).collect()
     assert [(r.order_count, r.total_revenue) for r in published] == [(3, 0.0)]
     paid = [(datetime(2018, 1, 1), datetime(2018, 1, 1, 0, 5), 1, float("nan"))]
     columns = "window_start timestamp, window_end timestamp, payment_confirmed_count long, payment_revenue double"
     spark.createDataFrame(paid, columns).write.parquet(f"{folders.tables}/fact_payment_status_5m")
     with pytest.raises(QualityError, match="payment_revenue is not usable: 1"):
         build_mart(spark, folders, path)
-    assert spark.read.parquet(path).collect() == published
+    assert read_published(spark, path).collect() == published
 
 
 def test_payments_that_all_have_one_time_close_no_window(spark, topic, drained):
@@ -434,3 +441,90 @@ def test_timed_triggers_and_waiting_for_any_query(spark, topic, tmp_path):
     await_any(spark)
     spark.streams.resetTerminated()
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+
+
+# What parsing leaves out, what comes late, and stopping in between
+
+ODD_PAYMENTS = {
+    "kept": confirmed("P1", START, 5.0),
+    "malformed": "not json",
+    "wrong_type": confirmed("P2", START, "a lot"),
+    "no_event_type": {"order_id": "O", "payment_id": "P3"},
+    "other_event": created("O1", START),
+    "no_id": confirmed(None, START, 1.0),
+    "unusable_amount": confirmed("P4", START, -1.0),
+    "unusable_time": confirmed("P5", "soon", 1.0),
+}
+
+
+def test_every_record_left_out_has_a_reason(topic, rows_of):
+    payments = topic()
+    payments.send(*ODD_PAYMENTS.values())
+    payments.send(confirmed("P6", START, 1e15), confirmed("P7", START, None), "{", "[]", "{}", confirmed("P8", START, 1.0) | {"event_time": None})
+    found = {row["raw_json"]: row["reason"] for row in rows_of(rejected_payments(payments.batch()), "raw_json", "reason")}
+    texts = [row["value"].decode() for row in payments.batch().collect()]
+    reasons = [found.get(text, "kept") for text in texts]
+    assert reasons[: len(ODD_PAYMENTS)] == list(ODD_PAYMENTS)
+    assert reasons[len(ODD_PAYMENTS) :] == ["unusable_amount", "unusable_amount", "malformed", "malformed", "no_event_type", "unusable_time"]
+    assert set(reasons) == {"kept", *REJECTIONS} - {"no_text"}
+
+
+def test_orders_left_out_and_records_without_text(topic, rows_of):
+    orders = topic()
+    orders.send(created("A", START), created(None, START), {"order_id": 1, "customer_id": [2]})
+    nothing = orders.batch().withColumn("value", F.lit(None).cast("binary"))
+    reasons = [row["reason"] for row in rows_of(rejected_orders(orders.batch().union(nothing)), "reason")]
+    assert sorted(reasons) == ["no_event_type", "no_id", "no_text", "no_text", "no_text"]
+
+
+def test_a_stream_counts_by_reason_and_the_counts_add_up(topic, drained, spark, tmp_path):
+    payments = topic()
+    payments.send(*ODD_PAYMENTS.values())
+    payments.send(confirmed("P6", START, 1.0), "no", "no")
+    parsed = parse_payment_confirmed(payments.stream(), observed="payments")
+    query = start_parquet_query(parsed, str(tmp_path / "t"), str(tmp_path / "c"), every=None)
+    run_to_end(query)
+    batches = dict(observed(query, "payments"))
+    assert batches[0] == {"records": 8, "kept": 1, **{reason: int(reason != "no_text") for reason in REJECTIONS}}
+    assert batches[1] == {"records": 3, "kept": 1, **{reason: 2 * (reason == "malformed") for reason in REJECTIONS}}
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+
+
+def test_late_rows_are_counted(topic, tmp_path, spark):
+    orders = topic()
+    orders.send(created("A", "2026-05-14T10:00:00"))
+    orders.send(created("B", "2026-05-14T10:00:01"))
+    orders.send(created("C", "2026-05-14T09:00:00"), created("D", "2026-05-14T09:50:00"))
+    orders.send(created("E", LATER))
+    stream = facts.order_count_10m(parse_order_created(orders.stream()))
+    query = start_parquet_query(stream, str(tmp_path / "t"), str(tmp_path / "c"), every=None, state_partitions=2)
+    run_to_end(query)
+    assert late_rows(query) == 1
+
+
+def test_a_stream_stopped_in_between_goes_on_where_it_was(topic, tmp_path, spark, drained):
+    orders = topic()
+    for minute in range(0, 120, 10):
+        orders.send(created(f"o{minute}", START + timedelta(minutes=minute)), created(f"p{minute}", START + timedelta(minutes=minute)))
+
+    def start(every):
+        stream = facts.order_count_10m(parse_order_created(orders.stream()))
+        return start_parquet_query(stream, str(tmp_path / "t"), str(tmp_path / "c"), every=every, state_partitions=2)
+
+    assert stop_after(start("50 milliseconds"), batches=3) >= 2
+    assert stop_after(start("50 milliseconds"), batches=5, seconds=0) >= -1
+    run_to_end(start(None))
+    resumed = spark.read.parquet(str(tmp_path / "t"))
+    whole = drained(facts.order_count_10m(parse_order_created(orders.stream())), "whole")
+    assert windows(resumed, "order_created_count") == windows(whole, "order_created_count")
+    assert resumed.count() == whole.count() == 9
+
+
+def test_a_window_above_the_price_limit_counts_in_the_mart(spark):
+    day = datetime(2018, 1, 1)
+    orders = spark.createDataFrame([(day, 2, 2)], "window_start timestamp, order_created_count long, unique_customer_count long")
+    paid = spark.createDataFrame([(day, 10, 5e12), (day, 1, float("inf")), (day, 1, -4.0), (day, 2, 3e15)],
+                                 "window_start timestamp, payment_confirmed_count long, payment_revenue double")
+    for exact in (True, False):
+        row = mart_daily_sales(orders, paid, exact_cents=exact).first()
+        assert (row.total_revenue, row.avg_order_value) == (3005e12, 15025e11)
