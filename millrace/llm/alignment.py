@@ -5,7 +5,7 @@ from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from hashlib import sha256
-from itertools import accumulate, chain, islice
+from itertools import accumulate, chain
 from typing import NamedTuple
 
 import numpy as np
@@ -52,14 +52,16 @@ def align(a_ends: Sequence[int], b_ends: Sequence[int]) -> list[Group]:
     intersection, cut the two sequences into groups. Tokens without bytes belong to
     the group that ends where they do. Without a common end there is no group.
     """
-    a_index = {end: i for i, end in enumerate(a_ends)}
-    b_index = {end: i for i, end in enumerate(b_ends)}
-    groups, a_from, b_from = [], 0, 0
-    for end in sorted(a_index.keys() & b_index.keys()):
-        a_to, b_to = a_index[end] + 1, b_index[end] + 1
-        groups.append(Group(a_from, a_to, b_from, b_to))
-        a_from, b_from = a_to, b_to
-    return groups
+    a_cuts, b_cuts = cuts(a_ends, b_ends)
+    return list(map(Group, [0, *a_cuts], a_cuts, [0, *b_cuts], b_cuts))
+
+
+def cuts(a_ends: Sequence[int], b_ends: Sequence[int]) -> tuple[list[int], list[int]]:
+    """How many tokens of each side end by each common offset."""
+    a_index = dict(zip(a_ends, range(1, len(a_ends) + 1), strict=True))
+    b_index = dict(zip(b_ends, range(1, len(b_ends) + 1), strict=True))
+    common = sorted(a_index.keys() & b_index.keys())
+    return list(map(a_index.__getitem__, common)), list(map(b_index.__getitem__, common))
 
 
 def links(group: Group, a_ends: Sequence[int], b_ends: Sequence[int]) -> Iterator[tuple[int, int]]:
@@ -125,14 +127,12 @@ def _tokenizers(a_path: str, b_path: str) -> tuple[ByteLevel, Pieces]:
 
 
 class Alignment(NamedTuple):
-    """One aligned text. ``pairs`` holds ``a id << 32 | b id`` for each link, and
-    ``in_group`` the number of links in each group."""
+    """One aligned text. ``pairs`` holds ``a id << 32 | b id`` for each link."""
 
     a: list[int]
     b: list[int]
     groups: list[Group]
     pairs: list[int]
-    in_group: list[int]
 
     def written(self) -> str:
         """The groups as ``a1,a2|b1;a3|b2,b3``."""
@@ -142,7 +142,7 @@ class Alignment(NamedTuple):
         )
 
 
-NOTHING = Alignment([], [], [], [], [])
+NOTHING = Alignment([], [], [], [])
 
 
 class Aligner:
@@ -170,26 +170,23 @@ class Aligner:
             start = end
         return found
 
-    def _align(self, text: str, a: list[int], b: list[int]) -> Alignment:
+    def ends(self, text: str, a: list[int], b: list[int]) -> tuple[list[int], list[int]] | None:
+        """Where the tokens of both sides end, or None if they don't spell the text out."""
         whole = b" " + text.encode()
         a_parts = list(map(self.a.bytes.__getitem__, a))
         b_parts = list(map(self.b.bytes.__getitem__, b))
         if not text or b"".join(a_parts) != whole or b"".join(b_parts) != whole:
+            return None
+        return list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts)))
+
+    def _align(self, text: str, a: list[int], b: list[int]) -> Alignment:
+        ends = self.ends(text, a, b)
+        if ends is None:
             return NOTHING
-        a_ends, b_ends = list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts)))
+        a_ends, b_ends = ends
         groups = align(a_ends, b_ends)
-        pairs: list[int] = []
-        in_group: list[int] = []
-        for group in groups:
-            i, i_end, j, j_end = group
-            if i_end - i == 1 == j_end - j:
-                pairs.append(a[i] << LOW_BITS | b[j])
-                in_group.append(1)
-            else:
-                found = [a[i] << LOW_BITS | b[j] for i, j in links(group, a_ends, b_ends)]
-                pairs += found
-                in_group.append(len(found))
-        return Alignment(a, b, groups, pairs, in_group)
+        pairs = [a[i] << LOW_BITS | b[j] for group in groups for i, j in links(group, a_ends, b_ends)]
+        return Alignment(a, b, groups, pairs)
 
 
 # Over a table
@@ -272,8 +269,10 @@ class _Block:
             self._keep(chain)
 
     def _keep(self, words: list[str]) -> None:
-        (one,) = self.aligner.align([" ".join(words)])
-        if not one.a:
+        text, aligner = " ".join(words), self.aligner
+        (a,), (b,) = aligner.a.encode([" " + text]), aligner.b.encode([text])
+        both = aligner.ends(text, a, b)
+        if both is None:
             if len(words) == 1:
                 self.words[words[0]] = -1
             else:  # some word is not spelled out
@@ -281,23 +280,28 @@ class _Block:
                 self._keep(words[:half])
                 self._keep(words[half:])
             return
-        a, b = list(map(str, one.a)), list(map(str, one.b))
-        a_ends = list(accumulate(len(self.aligner.a.bytes[i]) for i in one.a))
-        groups, counts, pairs = iter(one.groups), iter(one.in_group), iter(one.pairs)
-        place, end = self.pairs, 0
-        for word in words:
-            end += len(word.encode()) + 1
-            self.words[word] = len(self.texts)
-            texts, n_a, n_b, n_links, at = [], 0, 0, 0, -1
-            while at != end:
-                i, i_end, j, j_end = next(groups)
-                n_a, n_b, n_links = n_a + i_end - i, n_b + j_end - j, n_links + next(counts)
-                texts.append(f"{a[i]}|{b[j]}" if i_end - i == 1 == j_end - j else f"{','.join(a[i:i_end])}|{','.join(b[j:j_end])}")
-                at = a_ends[i_end - 1]
-            self.texts.append(";".join(texts))
-            self.sizes.extend((n_a, n_b, len(texts), n_links))
-            self.places.extend([place.setdefault(pair, len(place)) for pair in islice(pairs, n_links)])
-            self.ends.append(len(self.places))
+        a_ends, b_ends = both
+        a_texts, b_texts = list(map(str, a)), list(map(str, b))
+        place, places = self.pairs.setdefault, self.places
+        word_ends = accumulate(len(word.encode()) + 1 for word in words)
+        known, i, j, a_first, b_first = iter(words), 0, 0, 0, 0
+        groups: list[str] = []
+        end = next(word_ends)
+        for i_end, j_end in zip(*cuts(a_ends, b_ends), strict=True):
+            if i_end - i == 1 == j_end - j:
+                groups.append(f"{a_texts[i]}|{b_texts[j]}")
+                places.append(place(a[i] << LOW_BITS | b[j], len(self.pairs)))
+            else:
+                groups.append(f"{','.join(a_texts[i:i_end])}|{','.join(b_texts[j:j_end])}")
+                places.extend([place(a[x] << LOW_BITS | b[y], len(self.pairs)) for x, y in links(Group(i, i_end, j, j_end), a_ends, b_ends)])
+            i, j = i_end, j_end
+            if a_ends[i - 1] == end:  # a word ends
+                self.words[next(known)] = len(self.texts)
+                self.texts.append(";".join(groups))
+                self.sizes.extend((i - a_first, j - b_first, len(groups), len(places) - self.ends[-1]))
+                self.ends.append(len(places))
+                groups, a_first, b_first = [], i, j
+                end = next(word_ends, -1)
 
     def add(self, texts: list[str | None]) -> list[pa.Array]:
         """For each text its digest, the places of its pairs and how often it holds each."""
