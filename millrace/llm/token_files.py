@@ -24,6 +24,8 @@ CACHED_WORDS = 400_000
 TAIL = ".,!?;:%&*$#"
 #: Words that go to the tokenizer at once.
 WORD_BATCH = 20_000
+#: Words put into one text, with a special token between them, which keeps them apart.
+CHAIN, SEPARATOR = 500, "<|startoftext|>"
 
 
 class TokenFiles(NamedTuple):
@@ -48,13 +50,25 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = b"" if end is None else np.array([end], "<u4").tobytes()
+        self.apart = self.tokenizer.token_to_id(SEPARATOR)
         self.known: dict[str, bytes] = {}
 
     def _encode_words(self, words: list[str]) -> None:
         for start in range(0, len(words), WORD_BATCH):
             some = words[start : start + WORD_BATCH]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.known.update(zip(some, (array("I", f.ids).tobytes() for f in found), strict=True))
+            chained = [word for word in some if "<|" not in word]
+            alone = [word for word in some if "<|" in word]
+            if self.apart is None or len(chained) < 2:
+                chained, alone = [], some
+            for first in range(0, len(chained), CHAIN):
+                part = chained[first : first + CHAIN]
+                (found,) = self.tokenizer.encode_batch_fast([SEPARATOR.join(part)], add_special_tokens=False)
+                ids = np.array(found.ids, "<u4")
+                cuts = np.flatnonzero(ids == self.apart)
+                text, starts, ends = ids.tobytes(), [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
+                self.known.update({word: text[4 * a : 4 * b] for word, a, b in zip(part, starts, ends, strict=True)})
+            found = self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)
+            self.known.update(zip(alone, (array("I", f.ids).tobytes() for f in found), strict=True))
 
     def _learn(self, words: set[str]) -> None:
         """Ids of new words. A word with marks behind it is its stem and the marks."""
@@ -76,7 +90,7 @@ class WordEncoder:
         """The ids of each text as little-endian 32-bit numbers, with the end id."""
         split = [(text or "").replace("\n", " ").split(" ") for text in texts]
         encoded = []
-        step = 64
+        step = 256
         for start in range(0, len(split), step):
             some = split[start : start + step]
             unknown = set().union(*some).difference(self.known)
@@ -103,6 +117,7 @@ def encoder(path: str, end: int | None) -> WordEncoder:
 def _encode(path: str, end: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, before, place = TaskContext.get().partitionId(), 0, 0
+        encoder(path, end).known.clear()  # of an earlier task
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.slice(start, 256)
