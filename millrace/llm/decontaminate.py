@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.shared import releasing
+
 #: Words: letters and digits; everything else separates.
 WORD = re.compile(r"[^\W_]+")
 #: Characters of items that are searched at once; more items are searched in blocks.
@@ -103,6 +105,7 @@ MATCH = pa.struct([("item_id", pa.int64()), ("shared", pa.int32()), ("size", pa.
 
 def _search(block, per_mille: int):
     @F.arrow_udf("array<struct<item_id:bigint,shared:int,size:int>>")
+    @releasing
     def search(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
             rows = [found_items(text, block.value, per_mille) for text in batch.to_pylist()]

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.shared import releasing
+
 MARK = "▁"
 #: Spaces become marks. A mark that is in the text itself becomes a space, which no piece has.
 SWAPPED = str.maketrans({" ": MARK, MARK: " "})
@@ -158,6 +160,7 @@ def encoded(path: str):
     kinds = pa.struct([("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
 
     @F.arrow_udf("struct<ids: array<int>, round_trip: boolean>")
+    @releasing
     def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = vocabulary(path)
         try:
@@ -173,6 +176,7 @@ def encoded(path: str):
                 yield pa.concat_arrays(done)
         finally:
             own.known.clear()  # a worker that goes on with other work needs its memory
+            _VOCABULARIES.clear()
 
     return encode.asNondeterministic()
 

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import ARROW_ROWS, TEXT_ROWS, labelled_sample, map_batches
+from millrace.llm.shared import ARROW_ROWS, TEXT_ROWS, labelled_sample, map_batches, releasing
 from millrace.sources.session import session_settings
 
 #: Words and runs of marks are tokens. Each falls into one of these buckets by a hash.
@@ -220,6 +220,7 @@ class Model(NamedTuple):
         shared = self.shared
 
         @F.arrow_udf("double")
+        @releasing
         def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             vectors, network = shared.value
             for batch in _texts(texts):
@@ -231,6 +232,7 @@ class Model(NamedTuple):
 
 def _features(shared):
     @F.arrow_udf("array<float>")
+    @releasing
     def features(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in _texts(texts):
             yield pa.array([pooled(text, shared.value) for text in batch], pa.list_(pa.float32()))

@@ -1,6 +1,9 @@
 """Helpers of the operators: written tables, components, hashed samples."""
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -42,8 +45,9 @@ def labelled_sample(
     """At most ``most`` labelled documents outside the held-out fold, written: doc_id,
     label, text.
 
-    A document with several labels counts with the largest, one with several texts
-    with the first in order. The sample takes the smallest hashes of the ids, so it
+    Only labels of given documents count, so the sample is as large as these allow. A
+    document with several labels counts with the largest, one with several texts with
+    the first in order. The sample takes the smallest hashes of the ids, so it
     doesn't depend on the order of the tables.
     """
     known = (
@@ -51,18 +55,54 @@ def labelled_sample(
         .groupBy("doc_id")
         .agg(F.max(label).alias("label"))
     )
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    present = known.join(documents.select("doc_id"), "doc_id", "left_semi")
+    chosen = present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.join(F.broadcast(chosen), "doc_id")
     return written(texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")), "labelled")
 
 
+def release() -> None:
+    """Give memory that a task no longer needs back to the system.
+
+    A worker process goes on to tasks of other stages. What Python's and Arrow's
+    allocators keep for it would add up with what those need.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not this C library
+        pass
+
+
+def releasing(function: Callable[[Iterator[pa.Array]], Iterator[pa.Array]]):
+    """An iterator function of a column, and the memory of each task given back."""
+
+    @wraps(function)
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            yield from function(arrays)
+        finally:
+            release()
+
+    return run
+
+
 def map_batches(
     frame: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: str | StructType,
 ) -> DataFrame:
-    return frame.mapInArrow(function, schema)
+    """``mapInArrow``, and the memory of each task given back at its end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return frame.mapInArrow(run, schema)
 
 
 # Connected components

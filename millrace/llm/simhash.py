@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import components, map_batches, written
+from millrace.llm.shared import components, map_batches, releasing, written
 
 #: Reference fingerprints: 16 numbers from a fixed generator.
 PIVOTS = np.random.default_rng(20).integers(0, 2**64, 16, dtype=np.uint64)
@@ -42,6 +42,7 @@ def fingerprint(text: str | None, words: int = 4) -> int:
 
 def _fingerprints(words: int):
     @F.arrow_udf("long")
+    @releasing
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
             prints = [fingerprint(text, words) for text in batch.to_pylist()]
