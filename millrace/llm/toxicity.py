@@ -1,10 +1,9 @@
 """Toxic texts by a subsequence string kernel, Nyström landmarks and a linear SVM."""
 
+import random
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
-from math import comb
 from typing import NamedTuple
 
 import numpy as np
@@ -12,47 +11,75 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import labelled_sample
+from millrace.llm.shared import labelled_sample, releasing
 
 #: Letters of a common subsequence; weight of each letter it spans, gaps included.
-LETTERS, DECAY = 3, 0.6
-#: Kernel values below this count as none.
-LEAST = 0.5
-#: Landmark words; labelled documents to learn from, at most; sentences of one of them.
-LANDMARKS, MOST_LABELLED, MOST_SENTENCES = 64, 20_000, 64
-#: Letters of a landmark, at most. Its table of bounds has 2 to that power entries.
-LONGEST = 12
-#: Letters of a word that are compared at once; longer words are compared in windows.
-WIDE = 24
-#: Words that a task keeps in mind; words compared together.
-CACHED_WORDS, TOGETHER = 200_000, 5_000
+LETTERS, DECAY = 3, 0.75
+#: Landmark words; labelled documents to learn from, at most.
+LANDMARKS, MOST_LABELLED = 96, 20_000
+#: Words of one labelled document to learn from, at most: those most like landmarks;
+#: of a clean one the words that count as not toxic in a round.
+MOST_WORDS, CLEAN_WORDS = 16, 8
+#: Words up to here are compared whole. Longer ones, and those longer than a window,
+#: are compared in windows of so many letters, a step apart.
+WHOLE, WINDOW, STEP = 16, 8, 2
+#: Beginnings of words that may be landmarks, in letters; letters of a landmark.
+BEGINNINGS, LONGEST = range(4, 10), 24
+#: What the presence of a landmark tells at least, in nats over all documents: among a
+#: hundred thousand words without meaning hardly one tells as much by chance.
+LEAST_GAIN = 10.0
+#: Share of the documents with a beginning that makes a word stand for it.
+MOSTLY = 0.6
+#: Share of toxic documents among those with a landmark that makes it an insult, of
+#: which altered copies are made; copies of each.
+INSULT, ALTERED = 0.9, 24
+#: Altered copies for each that counts as a document when margins become probabilities.
+COPIES_OF_ONE = 4
+#: Words that a task keeps in mind; words compared together; texts split together.
+CACHED_WORDS, TOGETHER, TEXTS = 300_000, 20_000, 256
+#: Entries of a table of all three letters; with more letters, a sorted list is searched.
+DENSE = 1 << 22
 #: Rows of one kernel table.
 ROWS = 4096
-COST, ROUNDS = 1.0, 2
+COST, ROUNDS = 30.0, 6
 
-#: Bytes that are no letters, digits or white space, and digits: left out of words.
-LEFT_OUT = bytes(i for i in range(128) if not (chr(i).isalpha() or chr(i).isspace()))
+#: Marks and digits are left out of words.
+LEFT_OUT = dict.fromkeys(i for i in range(128) if not (chr(i).isalpha() or chr(i).isspace()))
 #: Single letters with spaces between.
-SPACED = re.compile(rb"(?<!\S)[a-z](?:\s+[a-z]){2,}(?!\S)")
-SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
+SPACED = re.compile(r"(?<!\S)[a-z](?:\s+[a-z]){2,}(?!\S)")
+#: Behind a word that is compared, as one more letter: beginnings of words lack it.
+END = "$"
 
 
-def words_of(text: str | None) -> list[bytes]:
+def words_of(text: str | None) -> list[str]:
     """The words of a text: lower case, without marks and digits inside them. Letters
     spelled out with spaces are one word."""
-    plain = (text or "").lower().encode().translate(None, LEFT_OUT)
+    plain = (text or "").lower().translate(LEFT_OUT)
     words = plain.split()
     found = SPACED.findall(plain)
-    return words + [b"".join(run.split()) for run in found] if found else words
+    return words + ["".join(run.split()) for run in found] if found else words
 
 
-def _windows(word: bytes) -> list[bytes]:
-    return [word] if len(word) <= WIDE else [word[i : i + WIDE] for i in range(0, len(word) - WIDE // 2, WIDE // 2)]
+def _parts(word: str) -> list[str]:
+    """The word with its end, if it isn't very long, and its windows, if it isn't short."""
+    if len(word) < LETTERS:
+        return [""]
+    if len(word) <= WINDOW:
+        return [word + END]
+    windows = [word[i : i + WINDOW] for i in range(0, len(word) - WINDOW + 1, STEP)]
+    windows.append(word[-WINDOW:] + END)
+    return [word + END, *windows] if len(word) <= WHOLE else windows
 
 
-def _table(words: list[bytes]) -> np.ndarray:
-    width = max(map(len, words))
-    return np.frombuffer(b"".join(word.ljust(width, b"\0") for word in words), np.uint8).reshape(-1, width)
+def _all_parts(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """The parts of all words, and where those of each word begin."""
+    parts = [_parts(word) for word in words]
+    return [part for own in parts for part in own], np.cumsum([0, *map(len, parts[:-1])])
+
+
+def _table(words: list[str]) -> np.ndarray:
+    """Code points, one row a word, padded with zeros."""
+    return np.array(words).view(np.uint32).reshape(len(words), -1)
 
 
 def _kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -81,7 +108,7 @@ def _kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return sum(value for row in ends for value in row) + np.zeros(rows)
 
 
-def own_kernel(words: list[bytes]) -> np.ndarray:
+def own_kernel(words: list[str]) -> np.ndarray:
     """The kernel of each word with itself."""
     found = np.zeros(len(words))
     by_length: dict[int, list[int]] = {}
@@ -94,138 +121,119 @@ def own_kernel(words: list[bytes]) -> np.ndarray:
     return found
 
 
-@lru_cache
-def least_norm(length: int) -> float:
-    """What the norm of a word of this length is at least: as if no subsequence came
-    twice."""
-    if length < LETTERS:
-        return 0.0
-    spans = range(LETTERS, length + 1)
-    return float(np.sqrt(sum((length - span + 1) * comb(span - 2, LETTERS - 2) * DECAY ** (2 * span) for span in spans)))
-
-
-class Landmark(NamedTuple):
-    word: bytes
-    norm: float
-    letters: bytes
-    #: For each set of the landmark's letters, the largest kernel that a word with
-    #: these alone can have.
-    bounds: np.ndarray
-
-
-@lru_cache
-def landmark(word: bytes) -> Landmark:
-    letters = bytes(sorted(set(word)))[:LONGEST]
-    weights: dict[tuple, float] = {}
-    for places in combinations(range(len(word)), LETTERS):
-        key = tuple(word[i] for i in places)
-        weights[key] = weights.get(key, 0.0) + DECAY ** (places[-1] - places[0] + 1)
-    sets = np.arange(1 << len(letters))
-    squares = np.zeros(len(sets))
-    for key, weight in weights.items():
-        need = sum(1 << letters.index(c) for c in set(key) if c in letters)
-        squares += weight**2 * (sets & need == need)
-    norm = np.sqrt(sum(weight**2 for weight in weights.values()))
-    return Landmark(word, norm, letters, np.sqrt(squares) / norm)
-
-
-def similarities(words: list[bytes], landmarks: list[bytes]) -> np.ndarray:
-    """The normalised kernel of each word with each landmark; below LEAST it is 0.
-
-    A word that lacks letters of a landmark can reach no more than the weight of the
-    landmark's subsequences without them; it is compared only if that may be LEAST,
-    and its own kernel is computed only if the least norm of its length leaves room.
-    """
-    found = np.zeros((len(words), len(landmarks)))
-    if not words:
+class Landmarks:
+    """Landmark words with the weights of their subsequences, by three letters."""
+
+    def __init__(self, words: list[str]) -> None:
+        self.words = words
+        letters = sorted(set("".join(words)))
+        self.size = len(letters) + 1
+        self.codes = {ord(letter): i for i, letter in enumerate(letters, 1)}
+        held: dict[int, np.ndarray] = {}
+        for k, word in enumerate(words):
+            own = [self.codes[ord(letter)] for letter in word]
+            for i, j, last in combinations(range(len(own)), LETTERS):
+                row = held.setdefault((own[i] * self.size + own[j]) * self.size + own[last], np.zeros(len(words)))
+                row[k] += DECAY ** (last - i + 1)
+        self.keys = np.array(sorted(held), np.int64)
+        self.known = np.array(sorted(self.codes), np.uint32)
+        self.places = None
+        if self.size**3 <= DENSE:
+            self.places = np.full(self.size**3, -1, np.int32)
+            self.places[self.keys] = np.arange(len(self.keys))
+        weights = np.array([held[key] for key in self.keys.tolist()]).reshape(len(held), len(words))
+        norms = np.sqrt((weights**2).sum(axis=0))
+        self.weights = (weights / np.where(norms > 0, norms, 1)).astype(np.float32)
+
+    def _codes(self, table: np.ndarray) -> np.ndarray:
+        places = np.searchsorted(self.known, table).clip(max=len(self.known) - 1)
+        return np.where(self.known[places] == table, places + 1, 0).astype(np.int32 if self.places is not None else np.int64)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each three letters in ``keys``, or -1."""
+        if self.places is not None:
+            return self.places[keys]
+        places = np.searchsorted(self.keys, keys).clip(max=len(self.keys) - 1)
+        return np.where(self.keys[places] == keys, places, -1)
+
+    def kernel(self, parts: list[str], weights: np.ndarray) -> np.ndarray:
+        """Sums of ``weights`` (one row for each three letters in ``keys``) over the
+        subsequences of each part, decayed, by the norm of the part. With ``self.weights``
+        that is the normalised kernel with each landmark."""
+        found = np.zeros((len(parts), *weights.shape[1:]), np.float32)
+        by_length: dict[int, list[int]] = {}
+        for i, part in enumerate(parts):
+            by_length.setdefault(len(part), []).append(i)
+        padded = np.concatenate([weights, np.zeros_like(weights[:1])])  # place -1 has none
+        for length, places in by_length.items():
+            if length < LETTERS or not len(self.keys):
+                continue
+            table = _table([parts[i] for i in places]).reshape(len(places), length)
+            columns = np.ascontiguousarray(self._codes(table).T)
+            sums = np.zeros((len(places), *weights.shape[1:]), np.float32)
+            for i, j in combinations(range(length), 2):
+                pair = (columns[i] * self.size + columns[j]) * self.size
+                for last in range(j + 1, length):
+                    sums += np.float32(DECAY ** (last - i + 1)) * padded[self._find(pair + columns[last])]
+            norms = np.sqrt(_kernel(table, table)).astype(np.float32)
+            found[places] = (sums.T / norms).T
         return found
-    parts = [(i, part) for i, word in enumerate(words) for part in _windows(word)]
-    owner = np.array([i for i, _ in parts])
-    table = _table([part for _, part in parts])
-    has = {c: (table == c).any(axis=1) for c in set().union(*(landmark(w).letters for w in landmarks))}
-    lengths = (table > 0).sum(axis=1)
-    norms = np.full(len(parts), -1.0)
-    lows = np.array([least_norm(length) for length in range(WIDE + 1)])
-    for k, mark in enumerate(map(landmark, landmarks)):
-        code = sum(has[c].astype(np.int64) << i for i, c in enumerate(mark.letters))
-        some = np.flatnonzero((mark.bounds[code] >= LEAST) & (lengths >= LETTERS))
-        if not len(some):
-            continue
-        wide = int(lengths[some].max())
-        values = _kernel(table[some, :wide], _table([mark.word])) / mark.norm
-        near = values >= LEAST * (1 - 1e-9) * lows[lengths[some]]
-        some, values = some[near], values[near]
-        if not len(some):
-            continue
-        new = some[norms[some] < 0]
-        if len(new):
-            norms[new] = np.sqrt(own_kernel([parts[i][1] for i in new.tolist()]))
-        values /= np.maximum(norms[some], 1e-12)
-        values[values < LEAST] = 0
-        np.maximum.at(found[:, k], owner[some], values)
-    return found
-
-
-class Matcher:
-    """The kernel rows of words that match a landmark, remembered by a task."""
 
-    def __init__(self, landmarks: list[bytes]) -> None:
-        self.landmarks, self.seen, self.rows = landmarks, set(), {}
-
-    def learn(self, words: set[bytes]) -> None:
-        new = list(words.difference(self.seen))
-        if len(self.seen) + len(new) > CACHED_WORDS:
-            self.seen.clear()
-        for start in range(0, len(new), TOGETHER):
-            part = new[start : start + TOGETHER]
-            found = similarities(part, self.landmarks)
-            for i in np.flatnonzero(found.any(axis=1)).tolist():
-                self.rows[part[i]] = found[i]
-        self.seen.update(new)
-
-    def sentences(self, text: str | None, words: list[bytes]) -> np.ndarray:
-        """For each sentence that matches a landmark, its largest kernel with each."""
-        if self.rows.keys().isdisjoint(words):
-            return np.zeros((0, len(self.landmarks)))
-        found = []
-        for sentence in SENTENCE.split(text or ""):
-            rows = [self.rows[word] for word in words_of(sentence) if word in self.rows]
-            if rows:
-                found.append(np.max(rows, axis=0))
-        # words spelled out across sentences belong to none of them
-        return np.array(found or [np.max([self.rows[w] for w in words if w in self.rows], axis=0)])
-
-    def each(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        for start in range(0, len(texts), 256):
-            some = texts[start : start + 256]
-            words = [words_of(text) for text in some]
-            self.learn(set().union(*words))
-            for text, own in zip(some, words, strict=True):
-                yield self.sentences(text, own)
-        if len(self.rows) > CACHED_WORDS:
-            self.rows, self.seen = {}, set()
+    def similarities(self, words: list[str]) -> np.ndarray:
+        """The normalised kernel of each word with each landmark, the largest of those
+        of its parts. A word of fewer than three letters is like none."""
+        parts, starts = _all_parts(words)
+        rows = self.kernel(parts, self.weights)
+        return np.maximum.reduceat(rows, starts, axis=0) if words else rows
 
 
 class Machine(NamedTuple):
-    """The SVM on Nyström features, and the slope and shift of its probabilities."""
+    """The SVM on Nyström features of words, and the slope and shift of probabilities."""
 
-    landmarks: list[bytes]
+    landmarks: list[str]
     features: np.ndarray
     weights: np.ndarray
     bias: float
     slope: float
     shift: float
 
-    def margin(self, sentences: np.ndarray) -> float:
-        """That of the worst sentence; a text without matches has only the bias."""
-        if not len(sentences):
-            return self.bias
-        return float((sentences @ self.features @ self.weights).max() + self.bias)
-
     def probability(self, margin: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30))))
 
 
+class Scorer:
+    """The margins of words, remembered by a task. A word is as toxic as its worst part,
+    a text as its worst word; one without words has only the bias."""
+
+    def __init__(self, machine: Machine) -> None:
+        self.machine, self.marks = machine, Landmarks(machine.landmarks)
+        # The margin is linear in the kernel rows, so one weight for each three letters does.
+        self.weights = (self.marks.weights @ (machine.features @ machine.weights)).astype(np.float32)
+        self.known: dict[str, float] = {}
+
+    def margins(self, words: list[str]) -> np.ndarray:
+        if not words:
+            return np.zeros(0)
+        parts, starts = _all_parts(words)
+        return np.maximum.reduceat(self.marks.kernel(parts, self.weights), starts) + self.machine.bias
+
+    def _learn(self, words: set[str]) -> None:
+        new = list(words.difference(self.known))
+        if len(self.known) + len(new) > CACHED_WORDS:
+            self.known = {}
+            new = list(words)
+        for start in range(0, len(new), TOGETHER):
+            part = new[start : start + TOGETHER]
+            self.known.update(zip(part, self.margins(part).tolist(), strict=True))
+
+    def each(self, texts: list[str | None]) -> Iterator[float]:
+        for start in range(0, len(texts), TEXTS):
+            some = [set(words_of(text)) for text in texts[start : start + TEXTS]]
+            self._learn(set().union(*some))
+            for words in some:
+                yield max(map(self.known.__getitem__, words), default=self.machine.bias)
+
+
 def _svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     """A linear SVM with squared hinge loss, by Newton steps; the last weight is the bias."""
     inputs = np.hstack([x, np.ones((len(x), 1))])
@@ -255,41 +263,98 @@ def _logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(found[0], 0.0)), float(found[1])
 
 
-def train(landmarks: list[bytes], rows: list[np.ndarray], labels: np.ndarray) -> Machine:
-    """Fit on each document's worst sentence, found anew after each round.
+def altered(word: str, others: list[str], rng: random.Random) -> str:
+    """The word as it is, with one or two letters put in, or inside a longer word."""
+    kind = rng.randrange(5)
+    if kind == 4:
+        return word
+    if kind == 3 and others:
+        return rng.choice(others)[:4] + word + rng.choice(others)[:4]
+    letters = "".join(others) or "abcdefghijklmnopqrstuvwxyz"
+    for _ in range(1 if kind < 2 else 2):
+        at = rng.randrange(1, len(word))
+        word = word[:at] + rng.choice(letters) + word[at:]
+    return word
+
+
+#: Scores without anything to tell by: no label, or one label only and that clean.
+UNKNOWN = 0.05
 
-    Labels mark documents; a toxic one is taken to have one toxic sentence at least,
-    a clean one none.
+
+def train(landmarks: list[str], rows: list[list[str]], labels: np.ndarray, insults: list[str] | None = None) -> Machine:
+    """Fit on the worst words of each document, found anew after each round.
+
+    ``rows`` has the words of each document that may be the worst. Labels mark
+    documents: a toxic one is taken to have one toxic word at least, a clean one none.
+    Altered copies of insults are toxic words, too, so that the margin leaves room for
+    what such copies lose in likeness.
+
+    With labels of one kind, or without landmarks, all texts score alike: as the
+    labels are, or ``UNKNOWN`` without any, which is not toxic.
     """
     size = len(landmarks)
-    base = (labels.sum() + 1) / (len(labels) + 2)
-    if not size or labels.min(initial=1) == labels.max(initial=0):
+    if not size or not len(labels) or labels.min() == labels.max():
+        base = (labels.sum() + 1) / (len(labels) + 2) if len(labels) else UNKNOWN
         return Machine(landmarks, np.eye(size), np.zeros(size), 0.0, 1.0, float(np.log(base / (1 - base))))
-    values, vectors = np.linalg.eigh(similarities(landmarks, landmarks) + 1e-6 * np.eye(size))
-    features = vectors @ np.diag(np.maximum(values, 1e-3) ** -0.5) @ vectors.T
-    y = np.where(labels > 0, 1.0, -1.0)
-    empty = np.zeros(size)
-    worst = [sentences[sentences.sum(axis=1).argmax()] if len(sentences) else empty for sentences in rows]
+    marks = Landmarks(landmarks)
+    values, vectors = np.linalg.eigh(marks.weights.T.astype(float) @ marks.weights + 1e-6 * np.eye(size))
+    features = vectors @ np.diag(np.maximum(values, 1e-2) ** -0.5) @ vectors.T
+    rng = random.Random(7)
+    others = sorted({word for words, label in zip(rows, labels, strict=True) if not label for word in words})
+    copies = [altered(word, others, rng) for word in insults or [] if len(word) >= LETTERS for _ in range(ALTERED)]
+    in_row = [list(dict.fromkeys(part for word in words for part in _parts(word))) for words in rows]
+    known = sorted({part for parts in in_row for part in parts})
+    places = {part: i for i, part in enumerate(known)}
+    held = [np.array([places[part] for part in parts], int) for parts in in_row]
+    likeness = marks.kernel(known, marks.weights)
+    kernel, margins = likeness @ features, likeness.max(axis=1, initial=0)
+    toxic = labels > 0
+    parts, starts = _all_parts(copies)
+    likeness = marks.kernel(parts, marks.weights)
+    ends = np.append(starts[1:], len(parts))
+    best = [int(a + likeness[a:b].max(axis=1).argmax()) for a, b in zip(starts, ends, strict=True)] if copies else []
+    virtual = likeness[best] @ features
     for _ in range(ROUNDS):
-        x = np.array(worst) @ features
+        worst = [own[np.argsort(-margins[own], kind="stable")[: 1 if bad else CLEAN_WORDS]] for own, bad in zip(held, toxic, strict=True)]
+        bad = np.concatenate([own for own, t in zip(worst, toxic, strict=True) if t])
+        good = np.unique(np.concatenate([own for own, t in zip(worst, toxic, strict=True) if not t]))
+        none = np.zeros((1, size))  # what is like no landmark is clean
+        x = np.concatenate([kernel[bad], virtual, kernel[good], none])
+        y = np.append(np.ones(len(bad) + len(virtual)), -np.ones(len(good) + 1))
         weights, bias = _svm(x, y)
-        worst = [sentences[(sentences @ features @ weights).argmax()] if len(sentences) else empty for sentences in rows]
-    margins = np.array(worst) @ features @ weights + bias
-    return Machine(landmarks, features, weights, bias, *_logistic(margins, labels.astype(float)))
+        margins = kernel @ weights + bias
+    final = np.array([margins[own].max(initial=bias) for own in held])
+    some = (virtual @ weights + bias)[::COPIES_OF_ONE]
+    return Machine(landmarks, features, weights, bias, *_logistic(np.append(final, some), np.append(labels, np.ones(len(some))).astype(float)))
 
 
 def _word_sets():
-    @F.arrow_udf("array<binary>")
+    """The words of a text, whole, and the beginnings of its longer words."""
+
+    @F.arrow_udf("array<string>")
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            rows = [sorted({w for w in words_of(text) if LETTERS <= len(w) <= LONGEST}) for text in batch.to_pylist()]
-            yield pa.array(rows, pa.list_(pa.binary()))
+            rows = []
+            for text in batch.to_pylist():
+                words = {word[:LONGEST] for word in words_of(text) if len(word) >= LETTERS}
+                begin = {word[:n] for word in words for n in BEGINNINGS if len(word) > n}
+                rows.append([word + END for word in sorted(words)] + sorted(begin))
+            yield pa.array(rows, pa.list_(pa.string()))
 
     return of.asNondeterministic()
 
 
-def choose_landmarks(sample: DataFrame, count: int) -> list[bytes]:
-    """The words whose presence tells most about the label, commoner in toxic texts."""
+class Landmark(NamedTuple):
+    word: str
+    documents: int
+    toxic: int
+
+
+def choose_landmarks(sample: DataFrame, count: int) -> list[Landmark]:
+    """The words, or beginnings of words, whose presence tells most about the label,
+    commoner in toxic texts. Of several beginnings of one word in nearly the same
+    documents, the longest counts, and a word itself instead of its beginning if most
+    documents with the beginning have the word."""
     totals = sample.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).first()
     n, toxic = totals.n, totals.toxic or 0
     if not toxic or toxic == n:
@@ -304,21 +369,34 @@ def choose_landmarks(sample: DataFrame, count: int) -> list[bytes]:
     rate = toxic / n
     gain = part(a, df * rate) + part(df - a, df * (1 - rate))
     gain = gain + part(toxic - a, (n - df) * rate) + part(n - df - (toxic - a), (n - df) * (1 - rate))
-    best = counts.where(a > df * rate).select("word", gain.alias("gain"))
-    rows = best.orderBy(F.desc("gain"), "word").limit(count).collect()
-    return [bytes(row.word) for row in rows]
-
-
-def _sentences(landmarks: list[bytes]):
-    @F.arrow_udf("array<binary>")
+    best = counts.where((a > df * rate) & (gain >= LEAST_GAIN)).select("word", "df", "a", gain.alias("gain"))
+    rows = best.orderBy(F.desc(F.round("gain", 6)), F.desc(F.length("word")), "word").limit(8 * count).collect()
+    chosen: list[Landmark] = []
+    for row in rows:
+        word, mark = row.word.removesuffix(END), Landmark(row.word, row.df, row.a)
+        same = [m for m in chosen if m.word.startswith(word) or word.startswith(m.word.removesuffix(END))]
+        begun = [m for m in same if not m.word.endswith(END) and mark.documents >= MOSTLY * m.documents]
+        if begun and row.word.endswith(END):
+            chosen[chosen.index(begun[0])] = mark
+        elif len(chosen) < count and not any(abs(m.documents - row.df) <= 0.1 * m.documents for m in same):
+            chosen.append(mark)
+    return chosen
+
+
+def _nearest_words(landmarks: list[str], most: int):
+    """The different words of a text that are most like some landmark."""
+
+    @F.arrow_udf("array<string>")
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = Matcher(landmarks)
+        marks = Landmarks(landmarks)
         for batch in texts:
-            rows = []
-            for sentences in known.each(batch.to_pylist()):
-                order = np.argsort(-sentences.sum(axis=1), kind="stable")[:MOST_SENTENCES]
-                rows.append([row.astype("<f4").tobytes() for row in sentences[order]])
-            yield pa.array(rows, pa.list_(pa.binary()))
+            rows = [sorted(set(words_of(text))) for text in batch.to_pylist()]
+            known = sorted(set().union(*rows))
+            likeness: dict[str, float] = {}
+            for start in range(0, len(known), TOGETHER):
+                part = known[start : start + TOGETHER]
+                likeness.update(zip(part, marks.similarities(part).max(axis=1).tolist(), strict=True))
+            yield pa.array([sorted(words, key=lambda word: -likeness[word])[:most] for words in rows], pa.list_(pa.string()))
 
     return of.asNondeterministic()
 
@@ -330,32 +408,44 @@ class Model(NamedTuple):
     shared: object
 
     def score(self, text: Column) -> Column:
-        """The probability that a text is toxic. A null text is an empty one."""
+        """The probability that a text is toxic, from all its words, whatever its length. A null text is an empty one; equal texts score alike."""
         shared = self.shared
 
         @F.arrow_udf("double")
+        @releasing
         def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             machine = shared.value
-            known = Matcher(machine.landmarks)
+            known = Scorer(machine)
             for batch in texts:
-                rows = known.each(batch.to_pylist())
-                yield pa.array([machine.probability(machine.margin(row)) for row in rows], pa.float64())
+                parts = (batch.slice(start, TEXTS).to_pylist() for start in range(0, len(batch), TEXTS))
+                margins = [margin for part in parts for margin in known.each(part)]
+                yield pa.array([machine.probability(margin) for margin in margins], pa.float64())
 
         return score.asNondeterministic()(text)
 
 
-def fit(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, landmarks: int = LANDMARKS) -> Model:
-    """Learn from at most ``most`` labelled documents outside the held-out fold. Other
-    labels than 0 and 1 are no labels."""
+def fit(
+    documents: DataFrame,
+    labels: DataFrame,
+    most: int = MOST_LABELLED,
+    landmarks: int = LANDMARKS,
+    words: int = MOST_WORDS,
+) -> Model:
+    """Learn from at most ``most`` labelled documents outside the held-out fold, and of
+    each from the ``words`` that are most like landmarks.
+
+    Other labels than 0 and 1 are no labels. A document that is repeated or has
+    several labels counts once, with the larger one. Without labels, documents or a
+    toxic label no text is judged toxic. Other columns are ignored.
+    """
     sample = labelled_sample(documents, labels, "toxic", most)
     marks = choose_landmarks(sample, landmarks)
-    table = sample.select("label", _sentences(marks)("text").alias("rows")).toArrow() if marks else None
-    rows, own = [], np.zeros(0)
-    if table is not None:
-        rows = [np.array([np.frombuffer(r, "<f4") for r in found], float).reshape(-1, len(marks)) for found in table["rows"].to_pylist()]
-        own = np.asarray(table["label"])
-    else:
-        counts = sample.groupBy("label").count().collect()
-        own = np.repeat([row.label for row in counts], [row["count"] for row in counts]) if counts else own
-    machine = train(marks, rows, own)
+    names = [mark.word.removesuffix(END) for mark in marks]
+    # A beginning stands beside the word that is no longer: that may be a clean one.
+    names += [mark.word + END for mark in marks if not mark.word.endswith(END)]
+    names = list(dict.fromkeys(names))
+    insults = [mark.word[:-1] for mark in marks if mark.toxic >= INSULT * mark.documents and mark.word.endswith(END)]
+    nearest = _nearest_words(names, words)("text") if marks else F.array().cast("array<string>")
+    found = sample.select("label", nearest.alias("words")).toArrow()
+    machine = train(names, found["words"].to_pylist(), np.asarray(found["label"]), insults)
     return Model(machine, documents.sparkSession.sparkContext.broadcast(machine))

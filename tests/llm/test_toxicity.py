@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import toxicity
-from millrace.llm.toxicity import DECAY, LEAST, Matcher, fit, landmark, least_norm, own_kernel, similarities, train, words_of
+from millrace.llm.toxicity import DECAY, Landmarks, Machine, Scorer, fit, train, words_of
 
 INSULTS = ["idiot", "moron", "stupid"]
 SYLLABLES = ["ther", "an", "lin", "ka", "sel", "um", "bra", "ve", "qua", "fen"]
@@ -28,60 +28,59 @@ def _kernel(a, b):
 
 def test_kernel_equals_its_features():
     rng = random.Random(1)
-    words = ["".join(rng.choice("idotmrn") for _ in range(rng.randrange(1, 11))).encode() for _ in range(400)]
-    words += [b"idiot", b"idxiot", b"mooron", b"", "réeuxñ".encode()]
-    marks = [b"idiot", b"moron", b"trim", b"ioi"]
-    found = similarities(words, marks)
+    words = ["".join(rng.choice("idotmrn") for _ in range(rng.randrange(3, 11))) for _ in range(300)]
+    words += ["idiot", "idxiot", "mooron", "réeuxñ", "ab", ""]
+    marks = ["idiot", "moron$", "trim", "réeux"]
+    known = Landmarks(marks)
+    found = known.kernel(words, known.weights)
     for i, word in enumerate(words):
         for k, mark in enumerate(marks):
-            value = _kernel(word, mark)
-            if abs(value - LEAST) > 1e-9:
-                assert found[i, k] == pytest.approx(value if value >= LEAST else 0.0, abs=1e-9)
-    kernels = own_kernel(words)
-    for word, own in zip(words, kernels, strict=True):
-        assert own == pytest.approx(sum(v * v for v in _features(word).values()))
-        assert least_norm(len(word)) <= own**0.5 + 1e-12
+            assert found[i, k] == pytest.approx(_kernel(word, mark), abs=1e-5)
 
 
-def test_bounds_are_bounds():
-    mark = landmark(b"stupid")
-    rng = random.Random(2)
-    for _ in range(300):
-        word = "".join(rng.choice("stupidx") for _ in range(rng.randrange(3, 12))).encode()
-        code = sum(1 << i for i, c in enumerate(mark.letters) if c in word)
-        assert _kernel(word, b"stupid") <= mark.bounds[code] + 1e-12
+def test_many_letters_are_searched_in_a_list(monkeypatch):
+    words, marks = ["idiot", "moron", "xidxiotx"], ["idiot", "moron", "été"]
+    dense = Landmarks(marks)
+    monkeypatch.setattr(toxicity, "DENSE", 0)
+    sparse = Landmarks(marks)
+    assert dense.places is not None and sparse.places is None
+    assert np.allclose(dense.similarities(words), sparse.similarities(words))
 
 
-def test_gaps_and_insertions_are_tolerated():
-    near = [b"idiiot", b"idxiot", b"iddiot", b"idiots"]
-    assert (similarities(near, [b"idiot"])[:, 0] >= LEAST).all()
-    assert not similarities([b"ocean", b"dit", b"i", b""], [b"idiot"]).any()
+def test_nothing_is_cut_off():
+    near = ["idxixot", "stxuxpid", "lxosxer", "whataclown", "ixdxixoxt"]
+    marks = ["idiot", "stupid", "loser", "clown", "idiot"]
+    for word, mark in zip(near, marks, strict=True):
+        whole = _kernel(word + "$", mark)
+        assert Landmarks([mark]).similarities([word])[0, 0] >= whole - 1e-6 > 0
+    assert not Landmarks(["idiot"]).similarities(["xyz", "it", ""]).any()
 
 
 def test_words():
-    assert words_of("I.D.I.O.T you i d i o t! s-t-u-p-i-d  1d10t") == [b"idiot", b"you", b"i", b"d", b"i", b"o", b"t", b"stupid", b"dt", b"idiot"]
+    assert words_of("I.D.I.O.T you i d i o t! s-t-u-p-i-d  1d10t") == ["idiot", "you", "i", "d", "i", "o", "t", "stupid", "dt", "idiot"]
     assert words_of(None) == words_of(" \n") == words_of("123 !!") == []
-    assert words_of("ÉTÉ a b") == ["été".encode(), b"a", b"b"]
+    assert words_of("ÉTÉ a b") == ["été", "a", "b"]
 
 
 def test_long_words_are_compared_in_windows():
-    found = similarities([b"x" * 50 + b"idiot" + b"y" * 40, b"x" * 100], [b"idiot"])
-    assert found[0, 0] == 0 or found[0, 0] >= LEAST
-    assert not found[1].any()
+    found = Landmarks(["idiot"]).similarities(["thelongeverlasting" + "idiot" + "andevenlonger", "x" * 100, "lasting" * 1000 + "idiot"])
+    assert (found[[0, 2], 0] > 0.5).all() and not found[1].any()
 
 
-def test_matcher_finds_the_worst_sentence():
-    found = list(Matcher([b"idiot", b"moron"]).each(["Fine here. You idiot! A moron and idiot.\nBye", "Nothing.", None]))
-    assert [len(rows) for rows in found] == [2, 0, 0]
-    assert np.allclose(found[0], [[1, 0], [1, 1]])
+def test_a_margin_is_that_of_the_kernel_rows():
+    rng = np.random.default_rng(3)
+    machine = Machine(["idiot", "moron"], np.eye(2), rng.normal(size=2), 0.3, 1.0, 0.0)
+    words = ["idiot", "moron", "idxiot", "ocean", "it"]
+    rows = Landmarks(machine.landmarks).similarities(words)
+    assert np.allclose(Scorer(machine).margins(words), rows @ machine.weights + 0.3, atol=1e-5)
 
 
-def test_matcher_memory_stays_bounded(monkeypatch):
+def test_memory_of_words_stays_bounded(monkeypatch):
+    machine = Machine(["idiot", "moron"], np.eye(2), np.ones(2), 0.0, 1.0, 0.0)
+    texts = ["a lot of idiot words", "another set moron words", "idiot moron idiot", None, ""] * 300
+    whole = list(Scorer(machine).each(texts))
     monkeypatch.setattr(toxicity, "CACHED_WORDS", 4)
-    texts = ["a lot of idiot words", "another set moron words", "idiot moron idiot"] * 300
-    small = [rows.tolist() for rows in Matcher([b"idiot", b"moron"]).each(texts)]
-    monkeypatch.undo()
-    assert small == [rows.tolist() for rows in Matcher([b"idiot", b"moron"]).each(texts)]
+    assert list(Scorer(machine).each(texts)) == whole
 
 
 def _corpus(rng, n):
@@ -104,7 +103,7 @@ def test_held_out_accuracy_and_odd_rows(documents, labels):
     docs = documents(*((i, text) for i, text, _ in rows), (900, None), (901, ""), (None, "you idiot"), (902, "fine " * 50_000 + "idiot"), (0, rows[0][1]))
     docs = docs.withColumn("score", F.lit("own"))
     model = fit(docs, labels(*((i, 1, toxic) for i, _, toxic in rows), (None, 1, 1), (3, None, None), (4, 0, 7)))
-    assert {b"idiot", b"moron", b"stupid"} <= set(model.machine.landmarks)
+    assert {"idiot", "moron", "stupid"} <= set(model.machine.landmarks)
     found = docs.select("doc_id", model.score(F.col("text")).alias("p")).collect()
     assert len(found) == len(rows) + 5 and all(0 <= row.p <= 1 for row in found)
     chance = {row.doc_id: row.p for row in found}
@@ -114,16 +113,45 @@ def test_held_out_accuracy_and_odd_rows(documents, labels):
     assert chance[None] >= 0.5 and chance[902] >= 0.5
 
 
-def test_no_labels_or_no_documents(documents, labels):
-    docs = documents((1, "a text"), (2, None))
-    for known in (labels(), labels((1, 1, 0), (2, 1, 0)), labels((1, 1, 1), (2, 1, 1))):
+def test_altered_insults_are_predicted(documents, labels):
+    rows = _corpus(random.Random(4), 500)
+    model = fit(documents(*((i, text) for i, text, _ in rows)), labels(*((i, 1, toxic) for i, _, toxic in rows)))
+    scorer, machine = Scorer(model.machine), model.machine
+
+    def toxic(words):
+        texts = [f"ther anlin {word} bra umsel." for word in words]
+        return np.mean([machine.probability(margin) >= 0.5 for margin in scorer.each(texts)])
+
+    inserted = [w[:i] + c + w[i:] for w in INSULTS for i in range(1, len(w)) for c in "xz"]
+    twice = [w[:i] + "x" + w[i:j] + "z" + w[j:] for w in INSULTS for i in range(1, len(w)) for j in range(i + 1, len(w))]
+    assert toxic(INSULTS) == 1.0
+    assert toxic(inserted) >= 0.9
+    assert toxic(twice) >= 0.5
+    assert toxic([f"what{w}like" for w in INSULTS]) == 1.0
+    assert toxic(["-".join(w) for w in INSULTS] + [" ".join(w) for w in INSULTS]) == 1.0
+    assert toxic(["".join(pair) for pair in zip(SYLLABLES, SYLLABLES[1:])]) == 0.0
+
+
+def test_without_evidence_nothing_is_toxic(documents, labels):
+    docs = documents((1, "a text"), (2, None), (3, "you idiot"))
+    for known in (labels(), labels((1, 1, 0), (2, 1, 0)), labels((None, 1, 1)), labels((77, 1, 1))):
         model = fit(docs, known)
-        assert all(0 < row.p < 1 for row in docs.select(model.score(F.col("text")).alias("p")).collect())
+        assert all(0 < row.p < 0.5 for row in docs.select(model.score(F.col("text")).alias("p")).collect())
+    model = fit(docs, labels((1, 1, 1), (2, 1, 1), (3, 1, 1)))
+    assert all(0.5 < row.p < 1 for row in docs.select(model.score(F.col("text")).alias("p")).collect())
     empty = documents()
     assert empty.select(fit(empty, labels((1, 1, 1))).score(F.col("text"))).count() == 0
 
 
+def test_labels_of_other_documents_take_no_place_in_the_sample(spark, documents, labels):
+    from millrace.llm.shared import labelled_sample
+
+    known = labels(*((i, 1, i % 2) for i in range(2000)))
+    docs = documents(*((i, f"text {i}") for i in range(1500, 1600)))
+    assert labelled_sample(docs, known, "toxic", 50).count() == 50
+
+
 def test_training_on_ties():
-    machine = train([b"idiot"], [np.array([[1.0]]), np.zeros((0, 1))] * 20, np.array([1, 0] * 20))
-    assert machine.probability(machine.margin(np.array([[1.0]]))) > 0.8
-    assert machine.probability(machine.margin(np.zeros((0, 1)))) < 0.2
+    machine = train(["idiot"], [["idiot"], []] * 20, np.array([1, 0] * 20))
+    chance = [machine.probability(margin) for margin in Scorer(machine).each(["idiot", "", "ocean"])]
+    assert chance[0] > 0.8 and chance[1] < 0.2 and chance[2] < 0.5
