@@ -174,31 +174,31 @@ def near_duplicates(documents: DataFrame, words: int = 4, distance: int = 4) ->
 
 
 def _with_components(prints: DataFrame, distance: int) -> DataFrame:
-    """The rows with ``component_id``; ``prints`` is a written table."""
+    """The rows with their component's ``root``, a print, and ``component_id``;
+    ``prints`` is a written table."""
     classes = prints.groupBy("print").agg(F.min("doc_id").alias("least_id"))
     roots = components(fingerprint_links(prints, distance))
     rooted = classes.join(roots.withColumnRenamed("node", "print"), "print", "left")
     rooted = written(rooted.select("print", F.coalesce("root", "print").alias("root"), "least_id"), "classes")
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(least, "root").select("print", "component_id")
+    named = rooted.join(least, "root").select("print", "root", "component_id")
     return prints.join(named, "print")
 
 
 def first_of_groups(documents: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
-    """The documents without near-duplicates: the row of each component's smallest id.
+    """The documents without near-duplicates: one row of each component, that with the
+    smallest id.
 
-    All columns stay. Of rows with that id, the one with the smallest text hash
-    stays, once. Rows without an id stay only if their component has no id at all.
+    All columns stay. Of rows with one id, that with the smallest text hash stays, and
+    of rows alike in both one. A row without an id stays only where its component has
+    no id at all, one for each such component. Unlike documents with one id are
+    documents each.
     """
     hashed = F.xxhash64("text")
     prints = documents.select("doc_id", hashed.alias("text_hash"), _fingerprints(words)("text").alias("print"))
     named = _with_components(written(prints, "prints"), distance)
-    chosen = (
-        named.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.coalesce("component_id", "print").alias("group"), F.col("component_id").isNull().alias("nameless"))
-        .agg(F.min(F.struct("doc_id", "text_hash")).alias("row"))
-        .select("row.*")
-    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("row")
+    chosen = named.groupBy("root").agg(first).select("row.doc_id", "row.text_hash")
     own = documents.columns
     rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("k1"), hashed.alias("k2"))
     rows = rows.dropDuplicates(["k1", "k2"])
