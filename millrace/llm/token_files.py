@@ -19,7 +19,7 @@ from millrace.llm.shared import map_batches, written
 #: Bytes of ids in one file, about; of a row group; of a page; rows of a page.
 FILE_BYTES, GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 64 << 20, 16 << 20, 256 << 10, 512
 #: Words that a worker keeps the ids of, some 200 bytes each.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 900_000
 #: Marks that a tokenizer never joins with a letter or digit before them.
 TAIL = ".,!?;:%&*$#"
 #: Words that go to the tokenizer at once.
