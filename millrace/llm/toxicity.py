@@ -2,7 +2,7 @@
 
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 from typing import NamedTuple
 
@@ -37,6 +37,8 @@ INSULT, ALTERED = 0.9, 24
 COPIES_OF_ONE = 4
 #: Words that a task keeps in mind; words compared together; texts split together.
 CACHED_WORDS, TOGETHER, TEXTS = 300_000, 20_000, 256
+#: Texts whose lists of words are held at once while learning.
+SLICE = 64
 #: Entries of a table of all three letters; with more letters, a sorted list is searched.
 DENSE = 1 << 22
 #: Rows of one kernel table.
@@ -331,15 +333,25 @@ def train(landmarks: list[str], rows: list[list[str]], labels: np.ndarray, insul
 def _word_sets():
     """The words of a text, whole, and the beginnings of its longer words."""
 
+    def begun(text: str | None) -> list[str]:
+        words = {word[:LONGEST] for word in words_of(text) if len(word) >= LETTERS}
+        begin = {word[:n] for word in words for n in BEGINNINGS if len(word) > n}
+        return [word + END for word in sorted(words)] + sorted(begin)
+
+    return _by_slices(lambda texts: [begun(text) for text in texts])
+
+
+def _by_slices(words_of_texts: Callable[[list[str | None]], list[list[str]]]):
+    """A column function from texts to words, a few texts at a time: lists of words as
+    Python objects take many times the room of their texts."""
+    kind = pa.list_(pa.string())
+
     @F.arrow_udf("array<string>")
+    @releasing
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            rows = []
-            for text in batch.to_pylist():
-                words = {word[:LONGEST] for word in words_of(text) if len(word) >= LETTERS}
-                begin = {word[:n] for word in words for n in BEGINNINGS if len(word) > n}
-                rows.append([word + END for word in sorted(words)] + sorted(begin))
-            yield pa.array(rows, pa.list_(pa.string()))
+            slices = (batch.slice(start, SLICE).to_pylist() for start in range(0, len(batch), SLICE))
+            yield pa.concat_arrays([pa.array([], kind), *(pa.array(words_of_texts(some), kind) for some in slices)])
 
     return of.asNondeterministic()
 
@@ -385,20 +397,18 @@ def choose_landmarks(sample: DataFrame, count: int) -> list[Landmark]:
 
 def _nearest_words(landmarks: list[str], most: int):
     """The different words of a text that are most like some landmark."""
+    marks = Landmarks(landmarks)
 
-    @F.arrow_udf("array<string>")
-    def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        marks = Landmarks(landmarks)
-        for batch in texts:
-            rows = [sorted(set(words_of(text))) for text in batch.to_pylist()]
-            known = sorted(set().union(*rows))
-            likeness: dict[str, float] = {}
-            for start in range(0, len(known), TOGETHER):
-                part = known[start : start + TOGETHER]
-                likeness.update(zip(part, marks.similarities(part).max(axis=1).tolist(), strict=True))
-            yield pa.array([sorted(words, key=lambda word: -likeness[word])[:most] for words in rows], pa.list_(pa.string()))
+    def nearest(texts: list[str | None]) -> list[list[str]]:
+        rows = [sorted(set(words_of(text))) for text in texts]
+        known = sorted(set().union(*rows))
+        likeness: dict[str, float] = {}
+        for start in range(0, len(known), ROWS):
+            part = known[start : start + ROWS]
+            likeness.update(zip(part, marks.similarities(part).max(axis=1).tolist(), strict=True))
+        return [sorted(words, key=lambda word: -likeness[word])[:most] for words in rows]
 
-    return of.asNondeterministic()
+    return _by_slices(nearest)
 
 
 class Model(NamedTuple):
