@@ -82,3 +82,21 @@ def test_a_reader_of_counts_reads_no_ids(documents, capsys):
 
 def test_empty_table(documents):
     assert digests(write_token_files(documents(), PATH, 1)).count() == 0
+
+
+def test_a_word_is_kept_once_for_all_its_spellings(library):
+    texts = ["Étage étage ÉTAGE étage, Étage?! straße STRASSE ÿÖ, naïveté.", "x9y, X9Y. x9y", "word Word word; WORD..."]
+    encoder = WordEncoder(PATH, 1)
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == _expected(library, text), text
+    assert {word for word in encoder.known if word.isalnum()} == {"étage", "straße", "strasse", "ÿö", "naïveté", "x9y", "word"}
+
+
+def test_added_tokens_of_letters_are_found_within_words(library, tmp_path):
+    library = Tokenizer.from_file(PATH)
+    library.add_tokens(["dog"])
+    library.save(str(tmp_path / "own.json"))
+    texts = ["hotdog, dogs Dog. hot DOG", "cat dog"]
+    encoder = WordEncoder(str(tmp_path / "own.json"), 1)
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == _expected(library, text), text
