@@ -3,6 +3,7 @@
 from collections import defaultdict
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import Window
@@ -234,3 +235,22 @@ def test_the_best_of_a_group_with_nulls_ties_and_many_batches(spark):
 
         assert top(best) == top(frame)
         assert keep_best(frame.limit(0), "g", [("value", "descending")], 3).count() == 0
+
+
+def test_the_best_of_many_groups_pass_batch_by_batch(spark, monkeypatch):
+    frame = spark.createDataFrame([], "g int, value int")
+    functions = []
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, function, schema: functions.append(function) or self)
+    keep_best(frame, "g", [("value", "descending")], 3)
+    taken = []
+
+    def batches():
+        for groups in ([None, None], [None, None, 1], [2, 2], [], [2], [2, 2, 3]):
+            taken.append(groups)
+            yield pa.RecordBatch.from_pydict({"g": pa.array(groups, pa.int32()), "value": pa.array([0] * len(groups), pa.int32())})
+
+    found = []
+    for batch in functions[0](batches()):
+        found += batch["g"].to_pylist()
+        assert len(found) >= sum(map(len, taken)) - 3  # no rows wait for the end
+    assert found == [None, None, None, 1, 2, 2, 2, 3]
