@@ -126,6 +126,14 @@ def _tokenizers(a_path: str, b_path: str) -> tuple[ByteLevel, Pieces]:
     return ByteLevel(a_path), Pieces(b_path)
 
 
+@lru_cache(1)
+def _digits(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids below ``size`` as decimals, each with a comma behind it, and where each
+    begins and the last ends."""
+    texts = [b"%d," % i for i in range(size)]
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+
+
 class Alignment(NamedTuple):
     """One aligned text. ``pairs`` holds ``a id << 32 | b id`` for each link."""
 
@@ -150,6 +158,7 @@ class Aligner:
 
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = _tokenizers(a_path, b_path)
+        self.digits = _digits(max(len(self.a.bytes), len(self.b.bytes)))
 
     def align(self, texts: Sequence[str | None]) -> list[Alignment]:
         """One alignment for each text, the same for equal texts in any order. A null
@@ -246,7 +255,7 @@ class _Block:
         self.documents = np.zeros(0, np.int64)
         self.links = 0
         self.sizes = array("i")
-        self.texts: list[str] = []
+        self.texts: list[bytes] = []
         self.places, self.ends = array("i"), array("q", [0])
 
     @property
@@ -280,28 +289,39 @@ class _Block:
                 self._keep(words[:half])
                 self._keep(words[half:])
             return
-        a_ends, b_ends = both
-        a_texts, b_texts = list(map(str, a)), list(map(str, b))
-        place, places = self.pairs.setdefault, self.places
-        word_ends = accumulate(len(word.encode()) + 1 for word in words)
-        known, i, j, a_first, b_first = iter(words), 0, 0, 0, 0
-        groups: list[str] = []
-        end = next(word_ends)
-        for i_end, j_end in zip(*cuts(a_ends, b_ends), strict=True):
-            if i_end - i == 1 == j_end - j:
-                groups.append(f"{a_texts[i]}|{b_texts[j]}")
-                places.append(place(a[i] << LOW_BITS | b[j], len(self.pairs)))
-            else:
-                groups.append(f"{','.join(a_texts[i:i_end])}|{','.join(b_texts[j:j_end])}")
-                places.extend([place(a[x] << LOW_BITS | b[y], len(self.pairs)) for x, y in links(Group(i, i_end, j, j_end), a_ends, b_ends)])
-            i, j = i_end, j_end
-            if a_ends[i - 1] == end:  # a word ends
-                self.words[next(known)] = len(self.texts)
-                self.texts.append(";".join(groups))
-                self.sizes.extend((i - a_first, j - b_first, len(groups), len(places) - self.ends[-1]))
-                self.ends.append(len(places))
-                groups, a_first, b_first = [], i, j
-                end = next(word_ends, -1)
+        a, b, a_ends, b_ends = (np.array(column, np.int64) for column in (a, b, *both))
+        every = np.union1d(a_ends, b_ends)  # one pair of tokens covers the bytes up to each
+        first, second = np.searchsorted(a_ends, every), np.searchsorted(b_ends, every)
+        common = every[(a_ends[first] == every) & (b_ends[second] == every)]
+        pairs, places = np.unique(a[first] << LOW_BITS | b[second], return_inverse=True)
+        known = [self.pairs.setdefault(pair, len(self.pairs)) for pair in pairs.tolist()]
+        self.places.frombytes(np.array(known, np.int32)[places].tobytes())
+        word_ends = np.cumsum([len(word.encode()) + 1 for word in words])
+        i, j = (np.searchsorted(ends, word_ends, "right") for ends in (a_ends, b_ends))
+        n_groups, n_links = (np.searchsorted(ends, word_ends, "right") for ends in (common, every))
+        sizes = np.diff(np.stack([i, j, n_groups, n_links], axis=1), axis=0, prepend=0)
+        self.sizes.frombytes(sizes.astype(np.int32).tobytes())
+        self.ends.frombytes((self.ends[-1] + n_links).tobytes())
+        self.words.update(zip(words, range(len(self.texts), len(self.texts) + len(words)), strict=True))
+        text, ends = self._written(a, b, a_ends, b_ends, common)
+        stops = ends[i + j - 1].tolist()
+        self.texts += [text[start : stop - 1] for start, stop in zip([0, *stops], stops)]
+
+    def _written(self, a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray, common: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The groups as ``a1,a2|b1;a3|b2,b3;``, and where the text of each id ends."""
+        a_cuts, b_cuts = (np.searchsorted(ends, common, "right") for ends in (a_ends, b_ends))
+        a_place = np.arange(len(a)) + np.append(0, b_cuts)[np.searchsorted(common, a_ends)]
+        b_place = np.arange(len(b)) + a_cuts[np.searchsorted(common, b_ends)]
+        ids = np.empty(len(a) + len(b), np.int64)
+        ids[a_place], ids[b_place] = a, b
+        marks = np.full(len(ids), ord(","), np.uint8)
+        marks[a_place[a_cuts - 1]], marks[b_place[b_cuts - 1]] = ord("|"), ord(";")
+        digits, stops = self.aligner.digits
+        lengths = stops[ids + 1] - stops[ids]
+        ends = np.cumsum(lengths)
+        text = digits[np.repeat(stops[ids + 1] - ends, lengths) + np.arange(ends[-1])]
+        text[ends - 1] = marks
+        return text.tobytes(), ends
 
     def add(self, texts: list[str | None]) -> list[pa.Array]:
         """For each text its digest, the places of its pairs and how often it holds each."""
@@ -310,7 +330,7 @@ class _Block:
         of = self.words.__getitem__
         rows = [list(map(of, words)) for words in split]
         rows = [[] if -1 in words else words for words in rows]
-        strings = [";".join(map(self.texts.__getitem__, words)) for words in rows]
+        strings = [b";".join(map(self.texts.__getitem__, words)) for words in rows]
         ids = np.fromiter(chain.from_iterable(rows), np.int64)
         n_words = list(map(len, rows))
         doc = np.repeat(np.arange(len(rows)), n_words)
@@ -329,7 +349,7 @@ class _Block:
         self.documents = grown + np.bincount(place, minlength=len(grown))
         self.links += len(at)
         cuts = pa.array(np.searchsorted(held >> LOW_BITS, np.arange(len(rows) + 1)), pa.int32())
-        hashes = [sha256(text.encode()).hexdigest() if text else "" for text in strings]
+        hashes = [sha256(text).hexdigest() if text else "" for text in strings]
         lists = (pa.ListArray.from_arrays(cuts, pa.array(values)) for values in (place, times.astype(np.int32)))
         return [*(pa.array(column) for column in sums.T.copy()), pa.array(hashes, pa.string()), *lists]
 

@@ -151,3 +151,18 @@ def test_groups_and_links_equal_all_overlaps(a, b):
     found = {pair for group in groups for pair in alignment.links(group, x, y)}
     assert found == {(i, j) for i in range(len(a)) for j in range(len(b)) if x[i] - a[i] < y[j] and y[j] - b[j] < x[i]}
     assert [x[g.a_end - 1] for g in groups] == sorted(set(x) & set(y))
+
+
+def test_words_are_aligned_without_a_step_for_each_group(monkeypatch):
+    texts = ["naïve Überraschung thinsterha, unlike onthesur 漢字 x9y!! don't", "the cat  sat <0x41> 🙂🙂 ofwhshed", None, "fiﬁ", "x" * 300]
+    aligner = alignment.Aligner(A, B)
+    expected = aligner.align(texts)
+    assert any(len(one.pairs) > len(one.groups) for one in expected)
+    monkeypatch.setattr(alignment, "links", None)
+    block = alignment._Block(aligner)
+    n_a, n_b, n_groups, n_links, hashes, places, times = (column.to_pylist() for column in block.add(texts))
+    pairs = list(block.pairs)
+    for i, one in enumerate(expected):
+        digest = sha256(one.written().encode()).hexdigest() if one.a else ""
+        assert (n_a[i], n_b[i], n_groups[i], n_links[i], hashes[i]) == (len(one.a), len(one.b), len(one.groups), len(one.pairs), digest)
+        assert Counter(one.pairs) == {pairs[p]: n for p, n in zip(places[i], times[i])}
